@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 from recordloom.session import cut
 
 #: Characters of a chunk, and of the neighbourhood that chunks share on each side.
-CHUNK, CONTEXT = 65_536, 256
+CHUNK, CONTEXT = 65_536, 1_024
+#: How far the partner of an opening quote or bracket is looked for; one without a partner opens nothing.
+REACH = 1_000
 #: Symbols handled by one prefix scan, and symbols of one of its blocks.
 SCAN, BLOCK = 100_000, 64
 
@@ -51,24 +53,28 @@ _CLASS = dict.fromkeys("!?؟！？", "bang") | dict.fromkeys("。．｡", "full"
 _NEXT = re.compile(r"\s*(\S?)")
 _TAIL = re.compile(r"[^\s()\[\]“”«»„\"「」,;:!?/。！？；，、：（）]+$")
 _MARKER = re.compile(r"[ \t]*(?:[-*•‣▪◦·–][ \t]+|#{1,6}[ \t]+|(\d{1,3})[.)][ \t]+|\(\d{1,3}\)[ \t]+|[a-z]\)[ \t]+)")
+# A name in small letters that begins a sentence shows by the verb after it.
+_LOWER_START = re.compile(r"[a-z][\w.-]*\s+(?:is|was|has)\s+(?:an?|the)\s")
 _BLANK_BEFORE = re.compile(r"\n[^\S\n]*\n\s*$")
-_GLUED = re.compile(r"(?<=[a-zß-öø-ÿ\d%)\]»”])\.(?=[A-ZÀ-ÖØ-Þ])")
+_GLUED = re.compile(r"(?<=[a-zß-öø-ÿа-яё\d%)\]»”])\.(?=[A-ZÀ-ÖØ-ÞА-ЯЁ])")
 _LATIN_RUN = re.compile(r"[A-Z][\w'’-]*\s+[a-zA-Z]")
 
 # Symbols: 0 nothing, 1 end, 2 blank line, 3 list line, 4-7 open/German open at start or mid, 8-10 close (plain, ends, ends if opened
-# mid), 11-16 “ (start, mid) x (plain, ends, mid), 17-22 the same for ", 23 bracket opens, 24-25 bracket closes (plain, ends), 26 new text.
-N_SYMBOLS, END, PARA, LIST, OPEN, GOPEN, CLOSE, AMB, ASC, PO, PC, NEW = 27, 1, 2, 3, 4, 6, 8, 11, 17, 23, 24, 26
-# States: quote (0 none, 1 opened at the start of a sentence, 2 mid, 3-4 the same for the German form) + 5 * bracket + 10 * list line.
-N_STATES = 20
+# mid), 11-16 “ (start, mid) x (plain, ends, mid), 17-22 the same for ", 23-24 bracket opens at start or mid, 25-27 bracket closes
+# (plain, ends, ends if opened at start), 28 new text, 29 an apostrophe that can close a German quote.
+N_SYMBOLS, END, PARA, LIST, OPEN, GOPEN, CLOSE, AMB, ASC, PO, PC, NEW, APOS = 30, 1, 2, 3, 4, 6, 8, 11, 17, 23, 25, 28, 29
+# States: quote (0 none, 1 opened at the start of a sentence, 2 mid, 3-4 the same for the German form) + 5 * bracket (0 none, 1 opened
+# at the start of a sentence, 2 mid) + 15 * list line.
+N_STATES = 30
 
 
 def _compile() -> tuple[np.ndarray, np.ndarray]:
     to, out = np.zeros((N_SYMBOLS, N_STATES), np.uint8), np.zeros((N_SYMBOLS, N_STATES), bool)
     for state in range(N_STATES):
-        q, p, line = state % 5, state // 5 % 2, state // 10
+        q, p, line = state % 5, state // 5 % 3, state // 15
 
         def set_(symbol: int, q2: int = q, p2: int = p, line2: int = line, boundary: bool = False, state: int = state) -> None:
-            to[symbol, state], out[symbol, state] = q2 + 5 * p2 + 10 * line2, boundary
+            to[symbol, state], out[symbol, state] = q2 + 5 * p2 + 15 * line2, boundary
 
         free = p == 0 and line == 0
         set_(0)
@@ -84,9 +90,12 @@ def _compile() -> tuple[np.ndarray, np.ndarray]:
                 set_(AMB + 3 * mid + ctx, 0 if q > 2 else q or 1 + mid, boundary=q > 2 and closes)
                 set_(ASC + 3 * mid + ctx, 0 if q else 1 + mid, boundary=q > 0 and closes)
                 set_(CLOSE + ctx, 0, boundary=closes)
-        set_(PO, p2=1)
+        set_(APOS, 0 if q > 2 else q)
+        set_(PO, p2=p or 1)
+        set_(PO + 1, p2=p or 2)
         set_(PC, p2=0)
         set_(PC + 1, p2=0, boundary=q == 0 and line == 0)
+        set_(PC + 2, p2=0, boundary=q == 0 and line == 0 and p == 1)
     return to, out
 
 
@@ -124,18 +133,20 @@ def _dot(text: str, i: int, j: int) -> bool:
         before = text[i - 1] if i else ""
         if k == "x":
             return not before.isspace() and not before.isdigit()
-        return k == "U" and (before.islower() or before.isdigit() or before in ")]”%»") and (text[j + 1 : j + 2].islower() or text[j + 1 : j + 2].isspace())
+        return k == "U" and (before.islower() or before.isdigit() or before in ")]”%»") and (text[j + 1 : j + 2].islower() or text[j + 1 : j + 2].isspace() or text[j + 1 : j + 2] in "'’")
     if k == "p":
         return c in "•-*"
     word, low = _word_before(text, i)
     if low in NEVER or (len(word) == 1 and word.isupper()) or (len(word) == 3 and word[1] == "." and word[0].isupper() and word[2].isupper()):
         return False
     if low in MAYBE or (len(word) == 1 and word.islower()):
+        if k == "U" and len(word) > 1 and word.isupper() and low != "etc" and text[at + 1 : at + 2].isupper():
+            return False  # in capitals, a capital does not tell
+        if k == "l":
+            return len(word) > 1 and bool(_LOWER_START.match(text, at))
         return k in ("U", "x", "") or (k == "o" and _after_bracket(text, at)) or (k == "d" and low in ("etc", "usw"))
     if k in ("U", "l") and len(word) < 3 and word.isdigit() and _word_before(text, i - len(word) - 1, True)[1] in ORDINAL:
         return False
-    if k == "o":
-        return _after_bracket(text, at)
     return True
 
 
@@ -159,7 +170,7 @@ def _bang(text: str, j: int) -> bool:
     if k == "l" and at == j:
         return False
     if k == "U" and at == j:
-        return text[j + 1 : j + 2].islower() or ord(text[j - 1]) > 0x2E80
+        return text[j + 1 : j + 2].islower() or text[j + 1 : j + 2].isspace() or text[j + 1 : j + 2] in "'’" or ord(text[j - 1]) > 0x2E80
     return True
 
 
@@ -181,6 +192,16 @@ def _opened(text: str, i: int) -> int:
     return 0 if m and m.end() == i or _BLANK_BEFORE.search(text, max(0, i - 40), i) else 1
 
 
+_PARTNERS = {"“": "”“", "«": "»", "「": "」", "『": "』", "‹": "›", "„": "“”'", "‚": "‘’'", "(": ")", "（": "）)", "[": "]", "【": "】"}
+
+
+def _has_partner(text: str, c: str, j: int) -> bool:
+    """Whether what opens here closes again before the next blank line, within reach."""
+    stop = text.find("\n\n", j, j + REACH)
+    stop = min(len(text), j + REACH) if stop < 0 else stop
+    return any(text.find(x, j, stop) >= 0 for x in _PARTNERS[c])
+
+
 def _closed(text: str, i: int, j: int) -> int:
     """0 if a closing quote ends nothing, 1 if it ends a sentence, 2 if it does where the quote was opened in mid sentence."""
     mark = _visible_before(text, i)
@@ -188,8 +209,10 @@ def _closed(text: str, i: int, j: int) -> int:
         return 0
     k, c, at = _kind(text, j)
     if k in ("", "o", "U", "d"):
-        if k == "o" and not _after_bracket(text, at):
+        if k == "o" and mark not in ".。" and not _after_bracket(text, at):
             return 0
+        if k == "U" and mark in "?!" and text[at + 1 : at + 2].isupper() and text[max(0, i - 2) : i - 1].isupper():
+            return 0  # in capitals: an attribution more likely than a new sentence
         return 2 if mark in "。！？．｡" and k in ("U", "d") else 1
     if k == "x":
         return 0 if "぀" <= c <= "ゟ" else 2
@@ -248,7 +271,7 @@ def symbols(text: str, first: int = 0, last: int | None = None) -> tuple[list[in
             s, at = (LIST if j < len(text) and _MARKER.match(text, j) else PARA), i
         elif g == "ell":
             k, c, a = _kind(text, j)
-            if k in ("l", "c", "d") or (k == "p" and c not in "•-*") or (a == j and k and not (k == "U" and text[i - 1 : i].islower())):
+            if k in ("l", "c") or (k == "d" and not text[i - 1 : i].isalpha()) or (k == "p" and c not in "•-*") or (a == j and k and not (k == "U" and text[i - 1 : i].islower())):
                 continue
             s, at = END, j
         elif g == "bang":
@@ -264,22 +287,38 @@ def symbols(text: str, first: int = 0, last: int | None = None) -> tuple[list[in
             if j >= len(text) or not ("ก" <= text[j] <= "๎" or _LATIN_RUN.match(text, j)):
                 continue
             s, at = END, i
-        elif g == "open":
-            s, at = OPEN + _opened(text, i), j
-        elif g == "gopen":
-            s, at = GOPEN + _opened(text, i), j
+        elif g in ("open", "gopen"):
+            if not _has_partner(text, c0, j):
+                continue
+            s, at = (OPEN if g == "open" else GOPEN) + _opened(text, i), j
         elif g == "close":
             if c0 == "'" and (i == 0 or text[i - 1] not in ".!?"):
-                continue
-            s, at = CLOSE + _closed(text, i, j), j
+                if i == 0 or not text[i - 1].isalnum() or text[j : j + 1].isalnum():
+                    continue
+                s, at = APOS, j
+            else:
+                s, at = CLOSE + _closed(text, i, j), j
         elif g in ("amb", "asc"):
-            s, at = (AMB if g == "amb" else ASC) + 3 * _opened(text, i) + _closed(text, i, j), j
+            shut = i > 0 and not text[i - 1].isspace() and not text[j : j + 1].isalnum() and text[j : j + 1] not in "¿¡"
+            if shut and g == "amb":
+                s, at = CLOSE + _closed(text, i, j), j
+            elif g == "amb" and not _has_partner(text, c0, j) and i and text[i - 1].isspace():
+                continue
+            else:
+                s, at = (AMB if g == "amb" else ASC) + 3 * _opened(text, i) + _closed(text, i, j), j
         elif g == "po":
-            s, at = PO, j
+            if not _has_partner(text, c0, j):
+                continue
+            s, at = PO + _opened(text, i), j
         else:
             mark = _visible_before(text, i)
             k, c, a = _kind(text, j)
-            ends = bool(mark) and mark in _MARKS and (k in ("U", "d", "") or (k == "o" and _after_bracket(text, a)) or (k == "x" and ord(text[i]) < 0x2E80) or (k == "p" and c in "•-*" and a > j))
+            if not mark or mark not in _MARKS:
+                ends = 0
+            elif k in ("U", "d", "", "o") or (k == "x" and ord(text[i]) < 0x2E80) or (k == "p" and c in "•-*" and a > j):
+                ends = 1
+            else:
+                ends = 2 if k in ("l", "x") else 0
             s, at = PC + ends, j
         syms.append(s)
         cuts.append(at)
