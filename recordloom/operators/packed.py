@@ -44,6 +44,7 @@ _SCAN = re.compile(
     |(?P<text>\w+|.)""",
     re.X | re.S,
 )
+_INNER = frozenset((",", ";", "/", "&", "+", "and"))
 _WORD = re.compile(r"\w[\w.'’-]*|[^\w\s]")
 
 
@@ -146,7 +147,11 @@ class Model:
         return w if w in self.words else "<9>" if w[0].isdigit() else "<A>" if w[0].isupper() else "<a>" if w.isalpha() else w if len(w) == 1 else "<x>"
 
     def chain(self, item: str) -> list[str]:
-        return ["<s>", *map(self.shape, _WORD.findall(item)), "</s>"]
+        out, after = ["<s>"], False
+        for w in _WORD.findall(item):  # what follows a delimiter inside a value is another word than at its start
+            out.append("," + self.shape(w) if after else self.shape(w))
+            after = w in _INNER
+        return [*out, "</s>"]
 
     def score(self, item: str) -> float:
         known = self.values.get(item, -60.0)
