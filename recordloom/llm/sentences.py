@@ -112,7 +112,7 @@ def _kind(text: str, j: int) -> tuple[str, str, int]:
         return ("U" if c.isupper() or c.istitle() else "l" if c.islower() else "x"), c, at
     if c.isdigit():
         return "d", c, at
-    if c in _OPENERS:
+    if c in _OPENERS or c == "…":
         return "o", c, at
     return ("c" if c in _CLOSERS else "p"), c, at
 
@@ -170,7 +170,7 @@ def _bang(text: str, j: int) -> bool:
     if k == "l" and at == j:
         return False
     if k == "U" and at == j:
-        return text[j + 1 : j + 2].islower() or text[j + 1 : j + 2].isspace() or text[j + 1 : j + 2] in "'’" or ord(text[j - 1]) > 0x2E80
+        return text[j + 1 : j + 2].islower() or (text[j + 1 : j + 2].isupper() and text[j - 2 : j - 1].isupper()) or text[j + 1 : j + 2].isspace() or text[j + 1 : j + 2] in "'’" or ord(text[j - 1]) > 0x2E80
     return True
 
 
@@ -216,6 +216,8 @@ def _closed(text: str, i: int, j: int) -> int:
         return 2 if mark in "。！？．｡" and k in ("U", "d") else 1
     if k == "x":
         return 0 if "぀" <= c <= "ゟ" else 2
+    if k == "l":
+        return int(mark == "." and bool(_LOWER_START.match(text, at)))
     return 1 if k == "p" and c in "•-*" and at > j else 0
 
 
@@ -271,7 +273,9 @@ def symbols(text: str, first: int = 0, last: int | None = None) -> tuple[list[in
             s, at = (LIST if j < len(text) and _MARKER.match(text, j) else PARA), i
         elif g == "ell":
             k, c, a = _kind(text, j)
-            if k in ("l", "c") or (k == "d" and not text[i - 1 : i].isalpha()) or (k == "p" and c not in "•-*") or (a == j and k and not (k == "U" and text[i - 1 : i].islower())):
+            if i == 0 or text[i - 1].isspace():
+                continue  # what was left out stands at the start of a sentence
+            if (k == "l" and not _LOWER_START.match(text, a)) or k == "c" or (k == "d" and not text[i - 1 : i].isalpha()) or (k == "p" and c not in "•-*") or (a == j and k and not (k == "U" and text[i - 1 : i].islower())):
                 continue
             s, at = END, j
         elif g == "bang":
