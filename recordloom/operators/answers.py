@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.functions.names import let
 from recordloom.missing import trim_all
 
 # Other names of fields; keys are compared lower case with underscores for spaces.
@@ -53,20 +54,22 @@ def isolate(c: Column) -> Column:
     fenced = F.element_at(F.split(F.element_at(F.split(s, "```json"), 2), "```"), 1)
     s = F.when(s.contains("```json"), trim_all(fenced)).when(s.contains("```"), trim_all(F.element_at(F.split(s, "```"), 2))).otherwise(s)
     s = F.when(F.instr(s, "{") > 0, F.substring(s, F.instr(s, "{"), F.length(s)))
-    pieces = F.split(s, r"[{}]")
-    marks = F.regexp_extract_all(s, F.lit("([{}])"), F.lit(1))
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("i"), F.lit(0).alias("pos"), F.lit(0).alias("stop"))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("pos"), F.lit(0).alias("stop"))
 
-    def step(a: Column, mark: Column) -> Column:
-        pos = a["pos"] + F.length(F.get(pieces, a["i"])) + 1
-        depth = a["depth"] + F.when(mark == "{", 1).otherwise(-1)
+    def step(a: Column, piece: Column) -> Column:
+        pos = a["pos"] + F.length(piece)
+        depth = a["depth"] + F.when(F.right(piece, F.lit(1)) == "{", 1).when(F.right(piece, F.lit(1)) == "}", -1).otherwise(0)
         stop = F.when((a["stop"] == 0) & (depth == 0), pos).otherwise(a["stop"])
-        return F.struct(depth.alias("depth"), (a["i"] + 1).alias("i"), pos.alias("pos"), stop.alias("stop"))
+        return F.struct(depth.alias("depth"), pos.alias("pos"), stop.alias("stop"))
 
-    stop = F.aggregate(marks, start, step, lambda a: a["stop"])
-    last = F.length(s) - F.instr(F.reverse(s), "}") + 1
-    end = F.when(stop > 0, stop).when(F.instr(s, "}") > 0, last)
-    return F.when(end.isNotNull(), F.substring(s, F.lit(1), end))
+    def object_of(s: Column) -> Column:
+        # pieces of the text that end with a brace each
+        pieces = F.split(s, r"(?<=[{}])")
+        stop = F.aggregate(pieces, start, step, lambda a: a["stop"])
+        last = F.length(s) - F.instr(F.reverse(s), "}") + 1
+        return let(stop, lambda n: F.when(n > 0, F.substring(s, F.lit(1), n)).when(F.instr(s, "}") > 0, F.substring(s, F.lit(1), last)))
+
+    return let(s, object_of)
 
 
 def quote_keys(c: Column) -> Column:
