@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from recordloom.llm.edits import canonical_stems
 from recordloom.missing import is_missing
 from recordloom.operators.quantities import _SCALES, LEAST, MOST, _whole, parse
+from recordloom.session import cut
 
 # Words of a model's name that name a variant of it.
 VARIANTS = (
@@ -81,7 +82,7 @@ def model_keys(extracted: DataFrame) -> DataFrame:
     model of its own.
     """
     cols = ["record_id", "paper_id", "extractor", "model_name", "parameters", "parameters_millions", "model_family", "model_version", "extracted_at"]
-    rows = parsed(extracted.select(*cols).dropDuplicates(["record_id"]))
+    rows = parsed(extracted.select(*cols).distinct())
     rows = rows.withColumn("text_size", stated_size("parameters"))
     millions = F.when((F.col("parameters_millions") > 0) & (F.col("parameters_millions") <= MOST // 10**6), F.col("parameters_millions") * 10**6)
     rows = rows.withColumn("size", F.coalesce("name_size", "text_size", millions)).withColumn("paper_id", F.coalesce("paper_id", F.lit("")))
@@ -111,7 +112,8 @@ def survivors(extracted: DataFrame, extractors: DataFrame) -> DataFrame:
     Empty input gives no row. A record of a single-row group survives as it is.
     """
     trust = extractors.groupBy("extractor").agg(F.min("trust_rank").alias("trust_rank"))
-    rows = model_keys(extracted).join(trust, "extractor", "left").withColumn("trust_rank", F.coalesce("trust_rank", F.lit(10**6)))
+    keyed = model_keys(extracted).select(*KEY, "record_id", "extractor", "model_name", "parameters", "text_size", "says", "extracted_at")
+    rows = cut(keyed.join(trust, "extractor", "left").withColumn("trust_rank", F.coalesce("trust_rank", F.lit(10**6))))  # read three times
     groups = rows.groupBy(*KEY).agg(F.min("record_id").alias("group_id"), F.count("*").alias("group_size"))
     picked = []
     for field, usable, says in (("model_name", ~is_missing(F.col("model_name")), F.col("says")), ("parameters", F.col("text_size").isNotNull(), F.lit(1))):
