@@ -121,7 +121,9 @@ def match(values: DataFrame, terms: DataFrame, threshold: float = THRESHOLD, mar
 
     looked = values.select("field_name", "value", F.explode(forms(F.col("value"))).alias("f")).select("field_name", "value", "f.form", "f.weight")
     looked = looked.groupBy("field_name", "value", "form").agg(F.max("weight").alias("weight"))
-    distinct = looked.select("field_name", "form").distinct()
+    # the forms are few bytes but many n-grams: a fixed number of partitions, which adaptive execution does not merge into one
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = looked.select("field_name", "form").distinct().repartition(parts)
     q = distinct.withColumn("gram", F.explode(grams(F.col("form")))).join(idf, ["field_name", "gram"], "left").join(unseen, "field_name")
     q = q.withColumn("w", F.coalesce("idf", "unseen")).drop("idf", "unseen")
     form_norms = q.groupBy("field_name", "form").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("form_norm"))
