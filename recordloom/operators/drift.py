@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recordloom.session import cut
+
 # The fields that are followed, the words that name each one, and words that may stand beside them.
 FIELDS = ("model_version", "paper_title", "extension")
 _HEADS = {"model_version": ("version", "ver", "versions", "vers"), "paper_title": ("title", "titles", "name"), "extension": ("extension", "extensions", "ext", "exts", "extends")}
@@ -57,11 +59,10 @@ def json_type(schema: Column) -> Column:
 def members(files: DataFrame) -> DataFrame:
     """(file_id, folder, written_at, pos, key, value VARIANT, field_name, json_type): the members of the record objects.
 
-    Files delivered twice count once. A payload that is no JSON, or has no array of records, yields nothing; of the two layouts
+    Files delivered twice give their members twice, which changes nothing that is read off them here. A payload that is no JSON, or has no array of records, yields nothing; of the two layouts
     the first non-empty array counts. Array elements that are no object yield nothing.
     """
-    once = files.select("file_id", "folder", "written_at", "payload").where(F.col("payload").isNotNull()).dropDuplicates(["file_id"])
-    doc = once.withColumn("doc", F.try_parse_json("payload"))
+    doc = files.select("file_id", "folder", "written_at", "payload").where(F.col("payload").isNotNull()).withColumn("doc", F.try_parse_json("payload"))
     arrays = [F.try_variant_get("doc", f"$.{k}", "array<variant>") for k in RECORD_KEYS]
     pick = F.lit(None).cast("array<variant>")
     for a in reversed(arrays):
@@ -106,7 +107,7 @@ def changes(files: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
     inside buckets of time first; what each bucket starts from is carried over by a window over one row a bucket.
     """
     bucket = F.floor(F.coalesce(F.col("written_at").cast("timestamp").cast("long"), F.lit(0)) / bucket_seconds)
-    s = file_schemas(files).withColumn("folder", F.coalesce("folder", F.lit(""))).withColumn("bucket", bucket)
+    s = cut(file_schemas(files)).withColumn("folder", F.coalesce("folder", F.lit(""))).withColumn("bucket", bucket)
     keys, types = [f"{f}_key" for f in FIELDS], [f"{f}_type" for f in FIELDS]
     order = F.struct(F.col("written_at"), F.col("file_id"))
     # what a bucket leaves behind: the keys of its last file, and the last known type of each field
