@@ -137,7 +137,7 @@ def _dot(text: str, i: int, j: int) -> bool:
     if k == "p":
         return c in "•-*"
     word, low = _word_before(text, i)
-    if low in NEVER or (len(word) == 1 and word.isupper()) or (len(word) == 3 and word[1] == "." and word[0].isupper() and word[2].isupper()):
+    if low in NEVER or (len(word) == 1 and word.isupper() and k != "o") or (len(word) == 3 and word[1] == "." and word[0].isupper() and word[2].isupper()):
         return False
     if low in MAYBE or (len(word) == 1 and word.islower()):
         if k == "U" and len(word) > 1 and word.isupper() and low != "etc" and text[at + 1 : at + 2].isupper():
