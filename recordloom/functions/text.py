@@ -101,7 +101,7 @@ def clean_url(c: Column) -> Column:
 
 
 def stop_repetition(c: Column) -> Column:
-    """An answer stuck on one or two characters is cut to what its first brace opens, a thousand characters at most."""
+    """An answer that begins with one or two characters only is cut a thousand characters from its first brace on."""
     distinct = F.size(F.array_distinct(F.split(F.substring(c, 1, 100), "(?s)(?<=.)(?=.)")))
     at = F.instr(c, "{")
     return F.when((F.length(c) > 50) & (distinct < 3) & (at > 0), F.substring(c, F.lit(1), at + 999)).otherwise(c)
