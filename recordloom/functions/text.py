@@ -96,7 +96,7 @@ def iso_month(c: Column) -> Column:
 def clean_url(c: Column) -> Column:
     """First line without control characters, cut before trailing command text; NULL if it is no http address."""
     s = trim_all(F.element_at(F.split(F.regexp_replace(trim_all(c), r"[\p{Cc}&&[^\n\r]]", ""), r"[\n\r]"), 1))
-    s = trim_all(F.element_at(F.split(s, "sbatch|grete_extract"), 1))
+    s = trim_all(F.element_at(F.split(s, "sbatch|srun"), 1))
     return F.when(s.startswith("http://") | s.startswith("https://"), s)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,27 +145,39 @@ def cosine(a: Column, b: Column) -> Column:
 # pairing ------------------------------------------------------------------------------------------------------------------
 
 
-def pair_edges(golds: DataFrame, preds: DataFrame) -> DataFrame:
+def _held_in(outer: DataFrame, inner: DataFrame) -> DataFrame:
+    """(paper_id, outer, inner): texts of a paper that hold others, by joining all substrings of the lengths that the others have."""
+    lengths = inner.select("paper_id", F.length("inner").alias("n")).where("n > 0").distinct()
+    spots = outer.join(lengths, "paper_id").where(F.length("outer") >= F.col("n"))
+    last = F.length("outer") - F.col("n") + 1
+    parts = spots.select("paper_id", "outer", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(F.col("outer"), i, F.col("n"))))).alias("inner"))
+    return parts.join(inner, ["paper_id", "inner"])
+
+
+def pair_edges(golds: DataFrame, preds: DataFrame, profile: str = "strict") -> DataFrame:
     """(paper_id, pred_id, p_ord, gold_name, g_ord, gold_id, tier): who may be paired, by equality, soft equality or containment.
 
     golds: (paper_id, gold_id, name, g_ord), preds: (paper_id, pred_id, name, p_ord). Of golds of one name the last counts, in the
-    place of the first. Containment is found by joining the substrings of predicted names with the reference names, so it needs
-    no pairing of all with all. Predictions of one name have the same candidates, so of each name only as many are kept as it
-    has candidates.
+    place of the first. strict: equal, equal but for hyphens and spaces, or the reference name within the predicted one, alike
+    soft; relaxed: equal or within; finetune: equal or either within the other, and of predictions of one name too the last
+    counts in the place of the first. Containment is found by joining substrings with names, so nothing is paired all with all.
+    Predictions of one name have the same candidates, so of each name only as many are kept as it has candidates.
     """
-    gn = F.lower(trim_all(F.coalesce("name", F.lit(""))))
-    g = golds.withColumn("gold_name", gn).groupBy("paper_id", "gold_name").agg(F.max_by("gold_id", "g_ord").alias("gold_id"), F.min("g_ord").alias("g_ord")).withColumn("soft", N.soft(F.col("gold_name")))
-    p = preds.withColumn("pred_name", gn).withColumn("p_soft", N.soft(F.col("pred_name")))
-    kinds = p.select("paper_id", "pred_name", "p_soft").distinct()
-    lengths = g.where("gold_name != ''").select("paper_id", F.length("soft").alias("n")).distinct()
-    spots = kinds.join(lengths, "paper_id").where(F.length("p_soft") >= F.col("n"))
-    parts = spots.select("paper_id", "pred_name", "p_soft", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("p_soft") - F.col("n") + 1), lambda i: F.substring(F.col("p_soft"), i, F.col("n"))))).alias("soft"))
-    held = parts.join(g.where("gold_name != ''"), ["paper_id", "soft"])
-    tier = F.when(F.col("pred_name") == F.col("gold_name"), 1).when(F.col("p_soft") == F.col("soft"), 2).otherwise(3)
+    name = (lambda c: F.lower(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " ")))) if profile == "finetune" else (lambda c: F.lower(trim_all(F.coalesce(c, F.lit("")))))
+    form = N.soft if profile == "strict" else (lambda c: c)
+    g = golds.withColumn("gold_name", name(F.col("name"))).groupBy("paper_id", "gold_name").agg(F.max_by("gold_id", "g_ord").alias("gold_id"), F.min("g_ord").alias("g_ord")).withColumn("inner", form(F.col("gold_name"))).where("gold_name != ''")
+    p = preds.withColumn("pred_name", name(F.col("name")))
+    if profile == "finetune":
+        p = p.groupBy("paper_id", "pred_name").agg(F.max_by("pred_id", "p_ord").alias("pred_id"), F.min("p_ord").alias("p_ord"))
+    kinds = p.select("paper_id", "pred_name").distinct().withColumn("outer", form(F.col("pred_name")))
+    spelled = _held_in(kinds.select("paper_id", "outer").distinct(), g.select("paper_id", "inner").distinct())
+    if profile == "finetune":
+        back = _held_in(g.select("paper_id", F.col("inner").alias("outer")).distinct(), kinds.select("paper_id", F.col("outer").alias("inner")).where("inner != ''").distinct())
+        spelled = spelled.unionByName(back.select("paper_id", F.col("inner").alias("outer"), F.col("outer").alias("inner"))).distinct()
+    held = spelled.join(kinds, ["paper_id", "outer"]).join(g, ["paper_id", "inner"])
+    tier = F.when(F.col("pred_name") == F.col("gold_name"), 1).when((F.col("outer") == F.col("inner")) & F.lit(profile == "strict"), 2).otherwise(3)
     kind_edges = held.select("paper_id", "pred_name", "gold_name", "g_ord", "gold_id", tier.alias("tier"))
     many = kind_edges.groupBy("paper_id", "pred_name").agg(F.count("*").alias("candidates"))
-    from pyspark.sql import Window
-
     w = Window.partitionBy("paper_id", "pred_name").orderBy("p_ord")
     few = p.join(many, ["paper_id", "pred_name"]).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= F.col("candidates"))
     return few.select("paper_id", "pred_name", "pred_id", "p_ord").join(kind_edges, ["paper_id", "pred_name"]).drop("pred_name")

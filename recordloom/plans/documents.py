@@ -216,7 +216,7 @@ def t14_year_month(spark, sf):
 
 
 @query(rf"""WITH {S.PAPERS}, u AS (SELECT paper_id, CASE WHEN doi IS NULL THEN '  ' || pdf_url || ' sbatch run.sh' ELSE pdf_url || chr(10) || 'second line' END AS raw FROM pap),
-v AS (SELECT paper_id, trim(string_split_regex(trim(string_split_regex(regexp_replace(trim(raw), '[\x00-\x09\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '[\n\r]')[1]), 'sbatch|grete_extract')[1]) AS url FROM u)
+v AS (SELECT paper_id, trim(string_split_regex(trim(string_split_regex(regexp_replace(trim(raw), '[\x00-\x09\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '[\n\r]')[1]), 'sbatch|srun')[1]) AS url FROM u)
 SELECT paper_id, CASE WHEN starts_with(url, 'http://') OR starts_with(url, 'https://') THEN url END AS url FROM v""")
 def t16_clean_url(spark, sf):
     raw = F.when(F.col("doi").isNull(), F.concat(F.lit("  "), F.col("pdf_url"), F.lit(" sbatch run.sh"))).otherwise(F.concat(F.col("pdf_url"), F.lit("\nsecond line")))

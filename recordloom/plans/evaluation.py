@@ -228,19 +228,67 @@ def _sides(spark, sf):
     return golds, r.where(~ref).select("paper_id", F.col("record_id").alias("pred_id"), F.col("model_name").alias("name"), o.alias("p_ord"))
 
 
-@query(rf"""WITH RECURSIVE {S.RECS}, base AS (SELECT *, lower({S.strip("coalesce(model_name, '')")}) AS nm, {{'a': chunk_no, 'b': pos, 'c': record_id}} AS o FROM recs WHERE paper_id IS NOT NULL AND extractor IS NOT NULL),
-g AS (SELECT paper_id, nm, arg_max(record_id, o) AS gold_id, min(o) AS g_ord, {S.soft('nm')} AS soft FROM base WHERE extractor = '{_TRUSTED}' GROUP BY paper_id, nm), p AS (SELECT paper_id, record_id AS pred_id, nm, o AS p_ord, {S.soft('nm')} AS soft FROM base WHERE extractor <> '{_TRUSTED}'),
-e AS (SELECT p.paper_id, p.pred_id, g.gold_id, g.nm AS gold_name, CASE WHEN p.nm = g.nm THEN 1 WHEN p.soft = g.soft THEN 2 ELSE 3 END AS tier, row_number() OVER (PARTITION BY p.paper_id ORDER BY p_ord, CASE WHEN p.nm = g.nm THEN 1 WHEN p.soft = g.soft THEN 2 ELSE 3 END, g_ord) AS rn
-  FROM p JOIN g ON p.paper_id = g.paper_id AND g.nm <> '' AND contains(p.soft, g.soft)),
+_ROW = "{'a': chunk_no, 'b': pos, 'c': record_id}"
+
+
+def _pairs_sql(name: str, form: str, tier: str, within: str, preds: str) -> str:
+    """The greedy pairing as a walk over the candidate edges of each paper, in the order of the predictions."""
+    free = "NOT list_contains(w.used, e.gold_name) AND w.last IS DISTINCT FROM e.pred_id"
+    return f"""WITH RECURSIVE {S.RECS}, base AS (SELECT *, {name} AS nm, {_ROW} AS o FROM recs WHERE paper_id IS NOT NULL AND extractor IS NOT NULL),
+g AS (SELECT paper_id, nm, arg_max(record_id, o) AS gold_id, min(o) AS g_ord, {form} AS soft FROM base WHERE extractor = '{_TRUSTED}' AND nm <> '' GROUP BY paper_id, nm), p AS ({preds}),
+e0 AS (SELECT p.paper_id, p.pred_id, p.p_ord, g.gold_id, g.g_ord, g.nm AS gold_name, {tier} AS tier FROM p JOIN g ON p.paper_id = g.paper_id AND ({within})), e AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY p_ord, tier, g_ord) AS rn FROM e0),
 w AS (SELECT paper_id, 0::BIGINT AS rn, []::VARCHAR[] AS used, NULL::BIGINT AS last, NULL::BIGINT AS pred_id, NULL::BIGINT AS gold_id, 0 AS tier FROM (SELECT DISTINCT paper_id FROM e)
-  UNION ALL SELECT e.paper_id, e.rn, CASE WHEN NOT list_contains(w.used, e.gold_name) AND w.last IS DISTINCT FROM e.pred_id THEN list_append(w.used, e.gold_name) ELSE w.used END, CASE WHEN NOT list_contains(w.used, e.gold_name) AND w.last IS DISTINCT FROM e.pred_id THEN e.pred_id ELSE w.last END,
-    CASE WHEN NOT list_contains(w.used, e.gold_name) AND w.last IS DISTINCT FROM e.pred_id THEN e.pred_id END, e.gold_id, e.tier FROM w JOIN e ON e.paper_id = w.paper_id AND e.rn = w.rn + 1)
-SELECT paper_id, pred_id, gold_id, tier FROM w WHERE pred_id IS NOT NULL""")
+  UNION ALL SELECT e.paper_id, e.rn, CASE WHEN {free} THEN list_append(w.used, e.gold_name) ELSE w.used END, CASE WHEN {free} THEN e.pred_id ELSE w.last END, CASE WHEN {free} THEN e.pred_id END, e.gold_id, e.tier FROM w JOIN e ON e.paper_id = w.paper_id AND e.rn = w.rn + 1)
+SELECT paper_id, pred_id, gold_id, tier FROM w WHERE pred_id IS NOT NULL"""
+
+
+_NM = f"lower({S.strip("coalesce(model_name, '')")})"
+_EACH = f"SELECT paper_id, record_id AS pred_id, nm, o AS p_ord, {{form}} AS soft FROM base WHERE extractor <> '{_TRUSTED}'"
+
+
+@query(_pairs_sql(_NM, S.soft("nm"), "CASE WHEN p.nm = g.nm THEN 1 WHEN p.soft = g.soft THEN 2 ELSE 3 END", "contains(p.soft, g.soft)", _EACH.format(form=S.soft("nm"))))
 def jn1_pairs(spark, sf):
-    """Records of the other extractors paired one to one with those of the most trusted one (JN1, JN2, JN3, C4)."""
+    """Records of the other extractors paired one to one with those of the most trusted one, strictly (JN1, C4)."""
     return E.pair_greedily(E.pair_edges(*_sides(spark, sf)))
 
 
+@query(_pairs_sql(_NM, "nm", "CASE WHEN p.nm = g.nm THEN 1 ELSE 3 END", "contains(p.nm, g.nm)", _EACH.format(form="nm")))
+def jn2_relaxed_pairs(spark, sf):
+    return E.pair_greedily(E.pair_edges(*_sides(spark, sf), profile="relaxed"))
+
+
+_SQ = f"lower(trim(regexp_replace(coalesce(model_name, ''), '{S.WS}+', ' ', 'g')))"
+
+
+@query(_pairs_sql(_SQ, "nm", "CASE WHEN p.nm = g.nm THEN 1 ELSE 3 END", "contains(p.nm, g.nm) OR (p.nm <> '' AND contains(g.nm, p.nm))", f"SELECT paper_id, arg_max(record_id, o) AS pred_id, nm, min(o) AS p_ord FROM base WHERE extractor <> '{_TRUSTED}' GROUP BY paper_id, nm"))
+def jn3_finetune_pairs(spark, sf):
+    return E.pair_greedily(E.pair_edges(*_sides(spark, sf), profile="finetune"))
+
+
+@query(f"""WITH {S.RECS}, g AS (SELECT paper_id, {_NM} AS nm FROM recs WHERE extractor = '{_TRUSTED}' AND paper_id IS NOT NULL), p AS (SELECT DISTINCT paper_id, {_NM} AS nm FROM recs WHERE extractor <> '{_TRUSTED}'),
+m AS (SELECT DISTINCT g.paper_id, g.nm FROM g WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.paper_id = g.paper_id AND p.nm = g.nm)) SELECT paper_id, array_to_string(list_sort(list(nm))[1:10], ', ') AS first_ten, greatest(count(*) - 10, 0) AS n_more FROM m GROUP BY 1""")
+def r6_missing(spark, sf):
+    """Names of the trusted extractor that no other one has, ten of each paper and how many more (R6, JN11): the ten are the feature."""
+    from recordloom.operators.records import low
+
+    r = recs(spark, sf).where(F.col("paper_id").isNotNull()).select("paper_id", low("model_name").alias("nm"), F.col("extractor"))
+    m = r.where(F.col("extractor") == _TRUSTED).select("paper_id", "nm").distinct().join(r.where(F.col("extractor") != _TRUSTED).select("paper_id", "nm"), ["paper_id", "nm"], "left_anti")
+    w = Window.partitionBy("paper_id").orderBy("nm")
+    ten = m.withColumn("rn", F.row_number().over(w)).where("rn <= 10").groupBy("paper_id").agg(F.array_join(F.array_sort(F.collect_list("nm")), ", ").alias("first_ten"))
+    n = m.groupBy("paper_id").agg(F.greatest(F.count("*") - 10, F.lit(0)).cast("bigint").alias("n_more"))
+    return ten.join(n, "paper_id")
+
+
+@query(f"SELECT {_KIND} AS category, count(*) AS n FROM extractors GROUP BY 1")
+def a19_categories(spark, sf):
+    return load(spark, sf, "extractors").groupBy(_category().alias("category")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT extractor FROM extractors ORDER BY extractor")
+def s16_models(spark, sf):
+    return load(spark, sf, "extractors").select("extractor").orderBy("extractor")
+
+
 @query(rf"""WITH {S.PAPERS}, t AS (SELECT trim(regexp_replace(lower(title), '{S.WS}+', ' ', 'g')) AS nt, paper_id FROM pap WHERE title IS NOT NULL), g AS (SELECT gold_id, trim(regexp_replace(lower(paper_title), '{S.WS}+', ' ', 'g')) AS nt FROM gold_models WHERE paper_title IS NOT NULL),
 x AS (SELECT gold_id, paper_id, CASE WHEN g.nt = t.nt THEN 0 ELSE 1 END AS tier FROM g JOIN t ON substr(g.nt, 1, 40) = substr(t.nt, 1, 40)) SELECT gold_id, arg_min(paper_id, {{'t': tier, 'p': paper_id}}) AS paper_id, min(tier) AS tier FROM x GROUP BY 1""")
 def jn4_title_to_paper(spark, sf):
@@ -390,6 +438,24 @@ def p_split_by_paper(spark, sf):
     return D.split_titles(gold(spark, sf))
 
 
+@query("""SELECT gold_id, 'system: Extract the model.' || chr(10) || 'user: ' || coalesce(innovation, '') || chr(10) || 'assistant: ' || coalesce(model_name, '') AS chat, row_number() OVER (ORDER BY md5(CAST(gold_id AS VARCHAR))) AS place FROM gold_models""")
+def g10_shuffled_chats(spark, sf):
+    """Training instances as chats in a shuffled order that any run repeats."""
+    chat = F.concat_ws("\n", F.lit("system: Extract the model."), F.concat(F.lit("user: "), F.coalesce("innovation", F.lit(""))), F.concat(F.lit("assistant: "), F.coalesce("model_name", F.lit(""))))
+    g = gold(spark, sf).select("gold_id", F.col("gold_id").cast("string").alias("k"), chat.alias("chat"))
+    return g.join(D.rank_by_hash(g, "k"), "k").select("gold_id", "chat", F.col("rk").alias("place"))
+
+
+@query(f"WITH {S.PAPERS}, f AS (SELECT DISTINCT * EXCLUDE (ingested_at, payload) FROM extraction_files), m AS (SELECT *, split_part(folder, '__', 1) AS model FROM f) SELECT file_id, regexp_replace(lower(model), '[^a-z0-9]+', '_', 'g') || '/' || replace(file_name, '/', '_') AS path FROM (SELECT *, row_number() OVER (PARTITION BY model, file_name ORDER BY written_at DESC, file_id) AS rn FROM m) WHERE rn = 1")
+def k3_newest_by_model(spark, sf):
+    """Where result files go: one folder for each model, of several files of one name the newest (K1, K2, K3)."""
+    from recordloom.functions.text import slug
+
+    f = files(spark, sf).select("file_id", "file_name", "written_at", F.element_at(F.split("folder", "__"), 1).alias("model"))
+    w = Window.partitionBy("model", "file_name").orderBy(F.col("written_at").desc(), "file_id")
+    return f.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("file_id", F.concat_ws("/", slug(F.col("model")), F.replace("file_name", F.lit("/"), F.lit("_"))).alias("path"))
+
+
 @query()
 def i8_pipeline(spark, sf):
     """The whole chain with a deterministic extractor in place of a model: text, chunks, records, selection, merging."""
