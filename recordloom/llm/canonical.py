@@ -42,7 +42,7 @@ ALIASES = {
     "Open Weights Responsible Use License": ("Open-Weights RUL", "open weight license with responsible use terms", "responsible-use open weights"),
     "Proprietary": ("proprietary weights", "closed", "closed source", "commercial closed", "not released, API only", "all rights reserved"),
     "Adam": ("Adam optimizer", "adaptive moment estimation"),
-    "AdamW": ("Adam W", "AdamW optimizer", "Adam with decoupled weight decay"),
+    "AdamW": ("Adam W", "AdamW optimizer", "AdamW optimizer + cosine", "Adam with decoupled weight decay"),
     "Adafactor": ("Ada factor", "Adafactor w/o momentum", "Adafactor factored second moments"),
     "Adagrad": ("Ada grad", "Adagrad optimizer", "adaptive gradient"),
     "LAMB": ("layer-wise adaptive moments", "layerwise adaptive moments for batch training", "LAMB optimizer"),
