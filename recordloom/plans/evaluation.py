@@ -393,6 +393,17 @@ def g5_statements(spark, sf):
     return M.statements(props(spark, sf))
 
 
+@query(f"""WITH {S.PROPS}, n AS (SELECT prop_id, paper_id, lower(trim(model_name)) AS nm, lower(trim(model_family)) AS fam FROM props), g AS (SELECT DISTINCT paper_id, lower(trim(model_name)) AS nm FROM gold_models), f AS (SELECT DISTINCT paper_id, lower(trim(model_family)) AS fam FROM gold_models)
+SELECT prop_id, CASE WHEN g.nm IS NOT NULL THEN 'skip' WHEN f.fam IS NOT NULL THEN 'update' ELSE 'add' END AS action FROM n LEFT JOIN g ON g.paper_id = n.paper_id AND g.nm = n.nm LEFT JOIN f ON f.paper_id = n.paper_id AND f.fam = n.fam""")
+def g13_merge_plan(spark, sf):
+    """What an update of the catalog does with each record: skip one that is there, update one whose family is, add the rest."""
+    low = lambda c: F.lower(F.trim(c))
+    n = props(spark, sf).select("prop_id", "paper_id", low("model_name").alias("nm"), low("model_family").alias("fam"))
+    have = lambda c, name: gold(spark, sf).select("paper_id", low(c).alias(name)).distinct().withColumn(f"has_{name}", F.lit(True))
+    x = n.join(have("model_name", "nm"), ["paper_id", "nm"], "left").join(have("model_family", "fam"), ["paper_id", "fam"], "left")
+    return x.select("prop_id", F.when(F.col("has_nm"), "skip").when(F.col("has_fam"), "update").otherwise("add").alias("action"))
+
+
 @query(f"""WITH {S.PROPS} SELECT prop_id, model_name IS NOT NULL AS has_label, len({_LIST}) = 0 AS no_properties FROM props""")
 def f15_check_mapping(spark, sf):
     return props(spark, sf).select("prop_id", F.col("model_name").isNotNull().alias("has_label"), (F.size(M.property_array()) == 0).alias("no_properties"))

@@ -16,6 +16,8 @@ class Store(Protocol):
 
     def append(self, paper_id: str, contribution: dict) -> str: ...
 
+    def update(self, contribution_id: str, statements: dict) -> None: ...
+
     def contributions(self, comparison_id: str) -> list[dict]: ...
 
 
@@ -44,6 +46,10 @@ class MemoryStore:
         own[key] = {"label": contribution["label"], "statements": dict(contribution.get("statements", {}))}
         return key
 
+    def update(self, contribution_id: str, statements: dict) -> None:
+        """Statements of a contribution that is there, set anew; KeyError if it is not."""
+        self.papers[contribution_id.split("-")[0]]["contributions"][contribution_id]["statements"].update(statements)
+
     def contributions(self, comparison_id: str) -> list[dict]:
         return [{"id": k, "label": c["label"], "paper": p["title"]} for p in self.papers.values() for k, c in p["contributions"].items()]
 

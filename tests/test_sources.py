@@ -62,6 +62,8 @@ def test_store_and_upload(spark, small):
     m = store.MemoryStore()
     key = m.create_paper("T", [{"label": "A", "statements": {"P1": [1]}}])
     assert m.append(key, {"label": "A", "statements": {"P2": [2]}}) == f"{key}-C1" and m.create_paper(" t ", []) == key
+    m.update(f"{key}-C1", {"P2": [3]})
+    assert m.papers[key]["contributions"][f"{key}-C1"]["statements"] == {"P1": [1], "P2": [3]}
     assert [(x.paper, x.label) for x in store.read_contributions(spark, m, "R").collect()] == [("T", "A")]
 
 
@@ -109,3 +111,12 @@ def test_stream_drops_repeats(spark, small, tmp_path):
     from recordloom.plans.documents import files as batch
 
     assert spark.table("streamed").count() == records(batch(spark, small)).count()
+
+
+def test_command_line(spark, small, tmp_path, capsys):
+    from recordloom.__main__ import main
+
+    assert main(["list"]) == 0 and "p3_found" in capsys.readouterr().out
+    assert main(["run", "nothing", small]) == 2
+    assert main(["run", "s16_models", small, "--out", str(tmp_path / "o"), "--format", "json"]) == 0
+    assert spark.read.json(str(tmp_path / "o")).count() == 8
