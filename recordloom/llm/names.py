@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from recordloom.llm.edits import canonical_stems
 from recordloom.operators import packed
+from recordloom.session import cut
 
 # Nicknames by given name.
 NICKNAMES = {
@@ -149,7 +150,7 @@ def entities(names: DataFrame) -> DataFrame:
     name. A form shared by one entity of its field alone links; one shared by several stays an entity of its own. rarity is the
     log of all entities over those that share the form used. Texts without a distinctive part have no entity.
     """
-    parsed = rewritten(names)
+    parsed = cut(rewritten(names))  # read by each of the groupings below
     canon = canonical_stems(parsed.groupBy("field_name", "kind", "stem").agg(F.sum("n").alias("n")), ["field_name", "kind"])
     t = parsed.join(canon, ["field_name", "kind", "stem"]).withColumn("stem", F.col("canonical")).drop("canonical")
     base = ["field_name", "kind", "stem"]
