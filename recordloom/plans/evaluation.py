@@ -13,7 +13,7 @@ from recordloom.plans import sqlx as S
 from recordloom.plans.documents import files, papers, props
 from recordloom.plans.records import gold, recs
 from recordloom.plans.registry import Registry
-from recordloom.session import load
+from recordloom.session import cut, load
 
 query = Registry()
 
@@ -265,6 +265,77 @@ def jn3_finetune_pairs(spark, sf):
     return E.pair_greedily(E.pair_edges(*_sides(spark, sf), profile="finetune"))
 
 
+# metrics of paired records ------------------------------------------------------------------------------------------------
+# a13, a14, a24, g9, r4 and r5 above compare all records of a paper over the fields that SQL can decide. These are the whole rule.
+
+
+def _paired(spark, sf, profile: str = "strict"):
+    """Reference records paired one to one with the records of each extractor on their paper, as structs g and p, worked out once."""
+    g, p = gold(spark, sf), props(spark, sf).withColumn("run", F.to_json(F.struct("paper_id", "extractor")))
+    golds = g.join(p.select("paper_id", "run").distinct(), "paper_id").select(F.col("run").alias("paper_id"), "gold_id", F.col("model_name").alias("name"), F.col("gold_id").alias("g_ord"))
+    preds = p.where("paper_id is not null").select(F.col("run").alias("paper_id"), F.col("prop_id").alias("pred_id"), F.col("model_name").alias("name"), F.struct("chunk_no", "pos", "prop_id").alias("p_ord"))
+    both = E.pair_greedily(E.pair_edges(cut(golds), cut(preds), profile)).select("gold_id", F.col("pred_id").alias("prop_id"))
+    return cut(both.join(g.select("gold_id", F.struct(*E.FIELDS).alias("g")), "gold_id").join(p.select("prop_id", "extractor", F.struct(*E.FIELDS).alias("p")), "prop_id"))
+
+
+def _strict_paired(spark, sf):
+    return E.decide(E.long_pairs(_paired(spark, sf), ["gold_id", "prop_id", "extractor"]), E.strict_match())
+
+
+def _paired_extractors(spark, sf, r):
+    """Counts of each extractor over all fields, those without a pair with zeros."""
+    n = pairs(spark, sf).select("extractor", "gold_id").distinct().groupBy("extractor").agg(F.count("*").alias("n_gold"))
+    c = E.counts(r, ["extractor"]).withColumnRenamed("extractor", "by")
+    return E.scores(n.join(c, F.col("extractor").eqNullSafe(F.col("by")), "left").drop("by").na.fill(0, ["tp", "fp", "fn", "tn"]))
+
+
+@query()
+def a13_paired_metrics(spark, sf):
+    """Counts and rates of each of the 18 fields and of the 13 structured ones together, over paired records."""
+    f = F.col("field")
+    of = F.when(f.isin(*E.STRUCTURED), F.array(f, F.lit("overall"))).otherwise(F.array(f))
+    return E.scores(E.counts(_strict_paired(spark, sf).select(F.explode(of).alias("field"), "gold", "pred", "match"), ["field"]))
+
+
+@query()
+def a14_paired_extractors(spark, sf):
+    """Micro-averaged counts and rates of each extractor over all 18 fields of its paired records."""
+    return _paired_extractors(spark, sf, _strict_paired(spark, sf))
+
+
+@query()
+def a24_paired_side_by_side(spark, sf):
+    """The strict and the fine-tune profile, each over all 18 fields of the records that it pairs."""
+    fine = E.long_pairs(_paired(spark, sf, "finetune"), ["gold_id", "prop_id", "extractor"]).withColumn("match", E.finetune_match())
+    f = E.scores(E.counts(fine, [], both_wrong=True)).select(F.lit(1).alias("k"), F.col("f1").alias("finetune_f1"))
+    s = E.scores(E.counts(_strict_paired(spark, sf), [])).select(F.lit(1).alias("k"), F.col("f1").alias("strict_f1"))
+    return f.join(s, "k").select("finetune_f1", "strict_f1", F.round(F.col("finetune_f1") - F.col("strict_f1"), 4).alias("difference"))
+
+
+@query()
+def g9_paired_results(spark, sf):
+    """One row for each extractor with its category, grade and the rates of some fields, over paired records (G9, JN15, R3, R8, K5)."""
+    r = _strict_paired(spark, sf)
+    by = E.scores(E.counts(r, ["extractor", "field"])).groupBy(F.col("extractor").alias("by")).pivot("field", ["parameters", "license", "extension"]).agg(F.max("f1"))
+    f = F.col("f1")
+    grade = F.when(f >= 0.8, "EXCELLENT").when(f >= 0.6, "GOOD").when(f >= 0.4, "FAIR").otherwise("POOR")
+    m = _paired_extractors(spark, sf, r).join(by, F.col("extractor").eqNullSafe(F.col("by")), "left")
+    return m.select(_category().alias("category"), "extractor", "f1", grade.alias("grade"), *[F.coalesce(F.col(c), F.lit(0.0)).alias(f"{c}_f1") for c in ("parameters", "license", "extension")])
+
+
+@query()
+def r4_paired_top_extractors(spark, sf):
+    """The three best extractors over paired records: the limit is the feature."""
+    return _paired_extractors(spark, sf, _strict_paired(spark, sf)).orderBy(F.col("f1").desc(), "extractor").limit(3).select("extractor", "f1")
+
+
+@query()
+def r5_paired_fields(spark, sf):
+    """Five best and five worst of the 18 fields over paired records: the limit is the feature."""
+    m = E.scores(E.counts(_strict_paired(spark, sf), ["field"])).select("field", "f1")
+    return m.orderBy(F.col("f1").desc(), "field").limit(5).withColumn("side", F.lit("top")).unionByName(m.orderBy("f1", "field").limit(5).withColumn("side", F.lit("bottom")))
+
+
 @query(f"""WITH {S.RECS}, g AS (SELECT paper_id, {_NM} AS nm FROM recs WHERE extractor = '{_TRUSTED}' AND paper_id IS NOT NULL), p AS (SELECT DISTINCT paper_id, {_NM} AS nm FROM recs WHERE extractor <> '{_TRUSTED}'),
 m AS (SELECT DISTINCT g.paper_id, g.nm FROM g WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.paper_id = g.paper_id AND p.nm = g.nm)) SELECT paper_id, array_to_string(list_sort(list(nm))[1:10], ', ') AS first_ten, greatest(count(*) - 10, 0) AS n_more FROM m GROUP BY 1""")
 def r6_missing(spark, sf):
