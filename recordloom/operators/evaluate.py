@@ -82,7 +82,7 @@ def finetune_match() -> Column:
 
 
 def relaxed_match() -> Column:
-    """The relaxed match; NULL where the similarity of the texts decides."""
+    """The relaxed match; NULL where the similarity of the texts decides (see decide with relaxed_threshold)."""
     m5 = lambda c: F.when(c.isNull() | (F.lower(trim_all(c)).isin("null", "none", "n/a")), "").otherwise(F.lower(trim_all(c)))
     g, p, f = m5(F.col("gold")), m5(F.col("pred")), F.col("field")
     (gy, gm), (py, pm) = _year_month(F.col("gold")), _year_month(F.col("pred"))
@@ -98,6 +98,11 @@ def relaxed_match() -> Column:
     return F.coalesce(first, then)
 
 
+def relaxed_threshold() -> Column:
+    """The least similarity of a relaxed match: lower for long texts."""
+    return F.when(F.col("field").isin(*FUZZY), 0.65).otherwise(0.8)
+
+
 @F.pandas_udf(T.DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Similarity of two texts by their longest matching blocks, 0 to 1; 1 for two empty ones, 0 for one."""
@@ -111,7 +116,7 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x or "", y or "") for x, y in zip(a, b)])
 
 
-def decide(results: DataFrame, match: Column, threshold: float = 0.8) -> DataFrame:
+def decide(results: DataFrame, match: Column, threshold: float | Column = 0.8) -> DataFrame:
     """Adds match and similarity; only rows that the rules leave open reach Python."""
     r = results.withColumn("match", match)
     settled = r.where(F.col("match").isNotNull()).withColumn("similarity", F.lit(None).cast("double"))
