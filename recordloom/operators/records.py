@@ -17,6 +17,8 @@ from recordloom.missing import is_missing_m2, is_missing_m3, trim_all
 GATE_FIELDS = ["model_name", "model_family", "organization", "innovation", "parameters", "pretraining_architecture", "pretraining_task", "pretraining_corpus", "license", "research_problem", "application"]
 RICH_FIELDS = ["model_name", "model_family", "organization", "innovation", "pretraining_task", "pretraining_architecture", "parameters", "license"]
 MERGED_FIELDS = ["model_family", "date_created", "organization", "innovation", "pretraining_architecture", "pretraining_task", "pretraining_corpus", "finetuning_task", "optimizer", "hardware_used", "extension", "blog_post", "license", "research_problem", "application", "paper_title"]
+#: All fields of a record as extracted: the merged ones, its name, version and size.
+RECORD_FIELDS = ["model_name", "model_version", "parameters", "parameters_millions", *MERGED_FIELDS]
 LONGEST_FIELDS = ["innovation", "extension", "pretraining_corpus", "application", "research_problem"]
 # Words of parts and by-products in names; those with a space or hyphen count as whole words only.
 AUXILIARY = ("adapter", "chat", "classifier", "component", "context", "detector", "embedding", "encoder", "expert", "evaluator", "filter", "framework", "guard", "instruct", "module", "parser", "pipeline", "prompt guard", "resampler", "reward model", "safety", "system-level", "tokenizer", "tool")

@@ -132,6 +132,12 @@ def f7_baseline(spark, sf):
     return recs(spark, sf).select("record_id", R.is_baseline(_BASE_FIELDS).alias("is_baseline"))
 
 
+@query(f"""WITH {S.RECS} SELECT record_id, regexp_matches({_LN}, '{"|".join(R.BASELINE)}') OR ({" + ".join(f"CAST(coalesce({S.strip(f'CAST({c} AS VARCHAR)')}, '') <> '' AS INT)" for c in R.RECORD_FIELDS)}) < 5 AS is_baseline FROM recs""")
+def f7_baseline_record(spark, sf):
+    """A baseline by its name or by fewer than five filled fields of the whole record (F7); f7_baseline counts 12 of the 20."""
+    return recs(spark, sf).select("record_id", R.is_baseline(R.RECORD_FIELDS).alias("is_baseline"))
+
+
 @query(f"""WITH t AS (SELECT gold_id, CASE WHEN gold_id % 3 = 0 THEN paper_title || ' - Contribution ' || gold_id WHEN gold_id % 3 = 1 THEN paper_title ELSE lower(paper_title) END AS title FROM gold_models),
 u AS (SELECT gold_id, {S.strip('title')} AS t FROM t WHERE {S.strip('title')} <> '')
 SELECT gold_id, {S.strip("string_split(t, ' - Contribution')[1]")} AS paper_title FROM u WHERE NOT regexp_matches(lower(substr(t, 1, 50)), '^(compared with|t0pp is|a variety|the t5 model|t0 stands for|obtained by|fine-tuned with)')
@@ -248,6 +254,50 @@ def a11_merge_labels(spark, sf):
     return recs(spark, sf).groupBy(label.alias("label")).agg(F.count("*").alias("n"), *[F.min_by(f, F.when(F.col(f).isNotNull(), o)).alias(f) for f in ("model_family", "organization", "license")])
 
 
+# The same merges over every field of a record; those above fill some.
+
+_WHOLE = [f for f in R.RECORD_FIELDS if f != "model_name"]
+
+
+def _firsts(fields: list[str], order: str) -> str:
+    return ", ".join(f"arg_min({f}, {order}) FILTER (WHERE {f} IS NOT NULL) AS {f}" for f in fields)
+
+
+def _gap_text(f: str) -> str:
+    return _gap(f"CAST({f} AS VARCHAR)")
+
+
+@query(f"""WITH {S.RECS}, g AS (SELECT *, {_NAM} AS nm FROM recs WHERE {_GATE}), v AS (SELECT *, coalesce({S.version('nm')}, '') AS ver, {_FAM} AS fam, {_PAR} AS par, {{'n': -{_SPEC}, 'a': chunk_no, 'b': pos, 'c': record_id}} AS rk FROM g),
+k AS (SELECT *, CASE WHEN fam <> '' AND (ver <> '' OR par <> '' OR parameters_millions IS NOT NULL) THEN fam ELSE nm END AS k1, CASE WHEN fam <> '' AND ver <> '' THEN ver WHEN fam <> '' AND (par <> '' OR parameters_millions IS NOT NULL) THEN '' ELSE coalesce(model_version, '') END AS k2,
+  CASE WHEN fam <> '' AND (ver <> '' OR par <> '' OR parameters_millions IS NOT NULL) THEN {_SZ} ELSE coalesce(parameters, '') END AS k3 FROM v)
+SELECT paper_id, count(*) AS n, arg_min(record_id, rk) AS record_id, arg_min(model_name, rk) AS model_name, {", ".join(f"coalesce(arg_min({f}, rk) FILTER (WHERE NOT {_gap_text(f)}), arg_max({f}, rk) FILTER (WHERE {f} IS NOT NULL)) AS {f}" for f in _WHOLE)} FROM k GROUP BY paper_id, k1, k2, k3""")
+def a1_dedup_records(spark, sf):
+    """a1_dedup_chunks with every field of the kept record filled (A1, A2)."""
+    return R.dedup_chunks(recs(spark, sf), _WHOLE)
+
+
+@query(f"""WITH {S.RECS} SELECT paper_id, model_name, model_version, parameters, count(*) AS n, arg_min(record_id, {_O}) AS record_id, {_firsts(R.RECORD_FIELDS[3:], _O)} FROM recs GROUP BY 1, 2, 3, 4""")
+def a3_dedup_records(spark, sf):
+    """a3_dedup_exact with every field of the first record filled (A3)."""
+    pick = [F.min_by(f, F.when(F.col(f).isNotNull(), R.order())).alias(f) for f in R.RECORD_FIELDS[3:]]
+    return recs(spark, sf).groupBy("paper_id", "model_name", "model_version", "parameters").agg(F.count("*").alias("n"), F.min_by("record_id", R.order()).alias("record_id"), *pick)
+
+
+@query(f"""WITH {_MERGED} SELECT paper_id, merged_into AS model_name, count(*) AS n_variants,
+  nullif(array_to_string(list_transform(list_sort(list_transform(list(DISTINCT {S.size_norm('parameters')}) FILTER (WHERE {S.size_norm('parameters')} IS NOT NULL), lambda s: {{'k': {S.size_key('s')}, 's': s}})), lambda x: x.s), ', '), '') AS parameters, max(parameters_millions) AS parameters_millions, {", ".join(map(_merge_sql, R.MERGED_FIELDS))} FROM keyed GROUP BY 1, 2""")
+def a5_merge_records(spark, sf):
+    """a5_merge_variants with all 16 merged fields."""
+    return R.merge_variants(recs(spark, sf))
+
+
+@query(f"""WITH {S.RECS} SELECT concat_ws(' ', model_name, nullif(model_version, ''), nullif(parameters, '')) AS label, count(*) AS n, {_firsts(R.RECORD_FIELDS, "{'p': paper_id, 'a': chunk_no, 'b': pos, 'c': record_id}")} FROM recs GROUP BY 1""")
+def a11_merge_records(spark, sf):
+    """a11_merge_labels with every field of an entry filled."""
+    label = F.concat_ws(" ", "model_name", F.nullif("model_version", F.lit("")), F.nullif("parameters", F.lit("")))
+    o = F.struct("paper_id", *R.ORDER)
+    return recs(spark, sf).groupBy(label.alias("label")).agg(F.count("*").alias("n"), *[F.min_by(f, F.when(F.col(f).isNotNull(), o)).alias(f) for f in R.RECORD_FIELDS])
+
+
 @query("""SELECT CASE WHEN j IS NULL THEN 'failed' WHEN n > 0 THEN 'completed' ELSE 'skipped' END AS status, count(*) AS n_files FROM (SELECT DISTINCT ON (file_id) file_id, payload AS j, coalesce(json_array_length(payload::JSON->'extraction_data'), 0) + coalesce(json_array_length(payload::JSON->'raw_extraction'), 0) AS n FROM extraction_files) GROUP BY 1""")
 def a17_batch_counts(spark, sf):
     from recordloom.plans.documents import files
