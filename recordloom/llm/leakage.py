@@ -34,7 +34,14 @@ ITEM_GAP, DOC_GAP = 14, 40
 
 # Units that a number may carry.
 UNITS = frozenset("b kb mb gb tb m k bn percent pts points hours hour days day years year minutes gpus billion million mrd mio prozent punkte stunden uhr tokens".split())
-_TOKEN = re.compile(r"[a-z]+|[0-9]+|[㐀-鿿]")
+_PLAIN = re.compile(r"[a-z]+|[0-9]+")
+#: Marks that letters carry, and letters of scripts that put no space between words (Thai to Tibetan, Myanmar, Khmer, kana, Han):
+#: of these each letter is a word.
+_MARKS = "".join(re.escape(chr(x)) for x in range(0x300, 0x1F000) if unicodedata.category(chr(x))[0] == "M")
+_LONE = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u9fff\U00020000-\U0003ffff"
+_LETTER = rf"[^\W\d_{_LONE}]"
+_TOKEN = re.compile(rf"{_LETTER}+(?:[{_MARKS}]+{_LETTER}*)*|\d+|(?=[^\W\d_])[{_LONE}][{_MARKS}]*")
+_IS_LONE = re.compile(f"[{_LONE}]")
 _BROKEN = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t]*(?=[^\W\d_])")
 _INVISIBLE = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff]")
 _ACCENTS = re.compile("[\u0300-\u036f]+")
@@ -42,7 +49,7 @@ _DROP = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 
 
 def words(text: str) -> list[str]:
-    """Words (Latin), numbers and Han characters of a text in one canonical form."""
+    """Words and numbers of a text in one canonical form; of scripts without spaces between words each letter."""
     if not text.isascii():
         if _INVISIBLE.search(text):
             text = text.translate(_DROP)
@@ -50,14 +57,16 @@ def words(text: str) -> list[str]:
         text = _ACCENTS.sub("", text)
     if "-\n" in text or "- \n" in text or "-\r" in text:
         text = _BROKEN.sub("", text)
-    return _TOKEN.findall(text.casefold())
+    text = text.casefold()
+    return (_PLAIN if text.isascii() else _TOKEN).findall(text)
 
 
 class Index:
     """Templates and texts of a block of items."""
 
-    def __init__(self, items: list[tuple[int, str]], common: frozenset):
+    def __init__(self, items: list[tuple[int, str]], common: frozenset, counts: dict | None = None):
         self.common = common
+        counts = counts or {}
         self.items = {i: words(t or "") for i, t in items}
         self.windows: dict = defaultdict(list)
         self.seeds: dict = {}
@@ -65,19 +74,23 @@ class Index:
         for i, w in self.items.items():
             marks = [self.mark(x) for x in w]
             names.update(x for x, m in zip(w, marks) if m == "<name>")
-            for at in range(len(w) - WINDOW + 1):
-                template = tuple(marks[at : at + WINDOW])
-                if "<name>" in template:
-                    self.windows[template].append((i, at))
+            wide, long = min(WINDOW, len(w)), min(SEED, len(w))
+            starts = range(len(w) - wide + 1) if w else ()
+            named = [at for at in starts if "<name>" in marks[at : at + wide]]
+            for at in named or starts:
+                self.windows[tuple(marks[at : at + wide])].append((i, at))
+                if not named:  # looked for around its rarest word, one that the template keeps if there is one
+                    names.add(w[min(range(at, at + wide), key=lambda k: (marks[k][0] == "<", counts.get(w[k], 0), w[k]))])
             seeds = defaultdict(list)
-            for at in range(len(w) - SEED + 1):
-                seeds[tuple(w[at : at + SEED])].append(at)
+            for at in range(len(w) - long + 1) if w else ():
+                seeds[tuple(w[at : at + long])].append(at)
             self.seeds[i] = dict(seeds)
         self.windows = dict(self.windows)
         self.names = frozenset(names)
+        self.sizes = sorted({len(t) for t in self.windows})
 
     def mark(self, w: str) -> str:
-        return "<num>" if w[0].isdigit() else w if w in self.common else "<unit>" if w in UNITS else "<name>" if w[0].isascii() else w
+        return "<num>" if w[0].isdigit() else w if w in self.common else "<unit>" if w in UNITS else w if _IS_LONE.match(w) else "<name>"
 
     def candidates(self, w: list[str]) -> dict[int, list[int]]:
         """Item -> places in the document where a template window of the item stands with the same slots."""
@@ -89,19 +102,20 @@ class Index:
         for p, x in enumerate(w):
             if x not in hits:
                 continue
-            for at in range(max(0, p - WINDOW + 1), min(p, len(w) - WINDOW) + 1):
-                piece = w[at : at + WINDOW]
-                template = tuple(marks.get(y) or marks.setdefault(y, self.mark(y)) for y in piece)
-                for item, k in self.windows.get(template, ()):
-                    # slots agree: the names all, of the rest it is enough that the template is the same
-                    if all(a == b for a, b, m in zip(piece, self.items[item][k : k + WINDOW], template) if m == "<name>"):
-                        out[item].append(at)
+            for size in self.sizes:
+                for at in range(max(0, p - size + 1), min(p, len(w) - size) + 1):
+                    piece = w[at : at + size]
+                    template = tuple(marks.get(y) or marks.setdefault(y, self.mark(y)) for y in piece)
+                    for item, k in self.windows.get(template, ()):
+                        # slots agree: the names all, of the rest it is enough that the template is the same
+                        if all(a == b for a, b, m in zip(piece, self.items[item][k : k + size], template) if m == "<name>"):
+                            out[item].append(at)
         return out
 
     def coverage(self, item: int, w: list[str], places: list[int]) -> float:
         """Share of the item's characters that the two best passages around the places cover."""
         own, seeds = self.items[item], self.seeds[item]
-        reach = len(own) * 2 + DOC_GAP
+        reach, long = len(own) * 2 + DOC_GAP, min(SEED, len(own))
         spans: list = []
         for p in sorted(places):
             a, b = max(0, p - reach), min(len(w), p + reach)
@@ -112,8 +126,8 @@ class Index:
         open_: list = []  # passages: [last item position, last document position, pairs]
         done: list = []
         for a, b in spans:
-            for d in range(a, b - SEED + 1):
-                at = seeds.get(tuple(w[d : d + SEED]))
+            for d in range(a, b - long + 1):
+                at = seeds.get(tuple(w[d : d + long]))
                 if not at:
                     continue
                 still = []
@@ -142,24 +156,29 @@ class Index:
             for k, d in pairs:
                 if last is not None and k - last <= SEED + 4:  # a few words changed in between
                     covered.update(range(last, k))
-                covered.update(range(k, k + SEED))
+                covered.update(range(k, k + long))
                 last = k
             lo, hi = min(covered), max(covered)
-            matched = {k + j for k, _ in pairs for j in range(SEED)}
+            matched = {k + j for k, _ in pairs for j in range(long)}
             slots = [k for k in range(lo, hi + 1) if self.mark(own[k]) in ("<name>", "<num>")]
             names = [k for k in slots if self.mark(own[k]) == "<name>"]
             if names and 2 * sum(k in matched for k in names) < len(names):
                 continue
             if slots and 2 * sum(k in matched for k in slots) < len(slots):
                 continue
-            scored.append(covered)
+            scored.append(frozenset(covered))
         size = [len(x) for x in own]
         total = sum(size) or 1
-        scored.sort(key=lambda c: -sum(size[k] for k in c))
-        best = 0
-        for n, c in enumerate(scored[:6]):
-            alone = sum(size[k] for k in c)
-            best = max(best, alone, *[sum(size[k] for k in c | o) for o in scored[n + 1 : 8]])
+        # passages that cover the same are one; the best pair is exact: a pair is passed over only if even without overlap it is no better
+        each = sorted(((sum(size[k] for k in c), c) for c in set(scored)), key=lambda x: -x[0])
+        best = each[0][0] if each else 0
+        for n, (alone, c) in enumerate(each):
+            if 2 * alone <= best or best == total:
+                break
+            for more, o in each[n + 1 :]:
+                if alone + more <= best:
+                    break
+                best = max(best, alone + sum(size[k] for k in o - c))
         return best / total
 
 
@@ -185,15 +204,16 @@ def _find(index, share: float):
 def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, share): documents that hold at least this share of an item as one or two passages.
 
-    NULL and empty texts of either side hold nothing. Items with fewer words than a window, or without any name, are compared by
-    nothing and never found. Repeated documents or items give repeated ids once. No items or no documents: no rows.
+    NULL and empty texts of either side hold nothing. Items with fewer words than a window are found where they stand whole. An
+    item without any name is found by its windows without one; of one with names, a part is found only if a window with a name
+    stands in it. Repeated documents or items give repeated ids once. No items or no documents: no rows.
     """
     spark = documents.sparkSession
     texts = documents.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") > 0))
     rows = sorted({(r["item_id"], r["text"]) for r in items.select("item_id", "text").where("text is not null").toLocalIterator()})
     counts: Counter = Counter()
-    for _, t in rows:
-        counts.update(set(words(t)))
+    for w in {tuple(words(t)) for _, t in rows}:  # an item under several ids counts once
+        counts.update(set(w))
     common = frozenset(w for w, n in counts.items() if n >= COMMON)
     blocks: list = [[]]
     chars = 0
@@ -205,7 +225,7 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataF
         chars += len(r[1])
     out = None
     for block in blocks:
-        index = spark.sparkContext.broadcast(Index(block, common))
+        index = spark.sparkContext.broadcast(Index(block, common, counts))
         found = texts.mapInPandas(_find(index, share), _OUT)
         out = found if out is None else out.unionByName(found)
     return out.groupBy("doc_id", "item_id").agg(F.max("share").alias("share"))
