@@ -123,9 +123,42 @@ _REWRITES = [
 _REWRITES = [(re.compile(a), b) for a, b in _REWRITES]
 
 
+def _fault(text: str) -> json.JSONDecodeError | None:
+    try:
+        json.loads(text)
+    except json.JSONDecodeError as e:
+        return e
+    return None
+
+
+def escape_stray(text: str) -> str:
+    """Quotes inside values escaped: of those before the place where parsing stops the nearest with which it gets further, again and again."""
+    fault = _fault(text)
+    while fault and fault.pos < len(text) and not fault.msg.startswith("Unterminated"):
+        cut = None  # the text may also end in a later string
+        for m in reversed(list(re.finditer(r'(?<!\\)(?:\\\\)*"', text[: fault.pos]))):
+            trial = text[: m.end() - 1] + "\\" + text[m.end() - 1 :]
+            then = _fault(trial)
+            if then is None or (then.pos > fault.pos + 1 and not then.msg.startswith("Unterminated")):
+                text, fault = trial, then
+                break
+            if cut is None and then.pos > fault.pos + 1:
+                cut = trial
+        else:
+            return cut or text
+    return text
+
+
+def _close_strings(text: str) -> str:
+    """Values that lack their closing quote closed before the next comma or bracket."""
+    text = re.sub(r':\s*"([^"]*?)([,}\]])', lambda m: f': "{m[1]}"{m[2]}', text)
+    return re.sub(r':\s*"([^"]*?)(\s*[}\]])', r': "\1"\2', text)
+
+
 def repair(text: str | None) -> str | None:
     """A text as JSON if rewriting and closing brackets make it parse, else None. Valid JSON comes back as it is.
 
+    Quotes inside values are escaped first, values without their closing quote closed next; only then is the text cut.
     Comments after // are dropped, but not inside what looks like a URL. A text cut in a string is closed after the last whole
     member.
     """
@@ -140,7 +173,11 @@ def repair(text: str | None) -> str | None:
             if attempt == 0:
                 for pattern, to in _REWRITES:
                     s = pattern.sub(to, s)
-    for end in [len(s), *[m.start() for m in reversed(list(re.finditer(r",", s)))][:50]]:
+    s = escape_stray(s)
+    for whole in (s, _close_strings(s)):
+        if _fault(whole) is None:
+            return whole
+    for end in [len(s), *[m.start() for m in reversed(list(re.finditer(r",", s)))]]:
         closed = re.sub(r",\s*([}\]])", r"\1", balance(s[:end]))
         try:
             json.loads(closed)

@@ -273,8 +273,8 @@ def j2_strict_parse(spark, sf):
 
 @query()
 def j3_repair(spark, sf):
-    """Broken answers repaired: only those that do not parse as they stand go through Python."""
-    p = F.when(F.length("payload") % 3 == 0, F.expr("left(payload, length(payload) - 3)")).when(F.length("payload") % 3 == 1, F.regexp_replace("payload", '"(license|parameters)":', "$1:")).otherwise(F.col("payload"))
+    """Broken answers (cut, keys without quotes, quotes inside values) repaired: only those that do not parse as they stand go through Python."""
+    p = F.when(F.length("payload") % 3 == 0, F.expr("left(payload, length(payload) - 3)")).when(F.length("payload") % 3 == 1, F.regexp_replace("payload", '"(license|parameters)":', "$1:")).when(F.length("payload") % 6 == 5, F.regexp_replace("payload", '("(?:research_problem|extension|title)": ?"[^" ]+) ', '$1" ')).otherwise(F.col("payload"))
     broken = files(spark, sf).where(F.col("payload").isNotNull()).select("file_id", p.alias("answer"))
     return J.parse_or_repair(broken, "answer").select("file_id", "repaired", F.col("json").isNotNull().alias("parsed"))
 
