@@ -116,7 +116,7 @@ def c9_semantic(spark, sf):
 
 @query()
 def c12_text_scores(spark, sf):
-    """Scores of long texts by a pluggable scorer, the match overridden by them, and their means by field."""
+    """Scores of long texts by a pluggable scorer, and their means by field (C10, C12); they override no match."""
     r = results(spark, sf, ["innovation", "license", "pretraining_task", "research_problem", "pretraining_architecture"])
     both = r.where((F.coalesce("gold", F.lit("")) != "") & (F.coalesce("pred", F.lit("")) != ""))
     s = E.score_texts(both.select("field", "gold", "pred").distinct())
@@ -410,6 +410,23 @@ def jn13_existing_models(spark, sf):
     return g.join(l, (g.paper_id == l.paper_id) & F.contains(l.label, g.family), "left_semi").select("gold_id")
 
 
+def in_label(label, name, version=None, parameters=None):
+    """Whether a label holds the name in any case and, where they are given, version and parameters as they are."""
+    ok = F.contains(F.lower(label), F.lower(name))
+    for c in (version, parameters):
+        if c is not None:
+            ok = ok & (c.isNull() | (c == "") | F.contains(label, c))
+    return ok
+
+
+@query(f"""WITH {S.PROPS}, l AS (SELECT paper_id, concat_ws(' ', model_name, nullif(model_version, ''), nullif(parameters, '')) AS label FROM props) SELECT gold_id FROM gold_models g WHERE EXISTS (SELECT 1 FROM l WHERE l.paper_id = g.paper_id AND contains(lower(l.label), lower(g.model_name)) AND (g.parameters IS NULL OR g.parameters = '' OR contains(l.label, g.parameters)))""")
+def jn13_existing_names(spark, sf):
+    """Reference records whose name and size, where given, the label of a record of the same paper holds (JN13); they state no version."""
+    l = props(spark, sf).select("paper_id", M.label().alias("label")).distinct()
+    g = gold(spark, sf).select("gold_id", "paper_id", "model_name", "parameters")
+    return g.join(l, (g.paper_id == l.paper_id) & in_label(l.label, g.model_name, parameters=g.parameters), "left_semi").select("gold_id")
+
+
 @query(f"""WITH {S.PROPS}, l AS (SELECT paper_id, concat_ws(' ', model_name, nullif(model_version, ''), nullif(parameters, '')) AS label, prop_id, chunk_no, pos FROM props) SELECT paper_id, label, arg_min(prop_id, {{'a': chunk_no, 'b': pos, 'c': prop_id}}) AS prop_id FROM l GROUP BY 1, 2""")
 def jn17_id_by_label(spark, sf):
     return props(spark, sf).groupBy("paper_id", M.label().alias("label")).agg(F.min_by("prop_id", F.struct("chunk_no", "pos", "prop_id")).alias("prop_id"))
