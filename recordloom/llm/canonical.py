@@ -128,8 +128,8 @@ def _each(function, column: str, names: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             got = [sorted(function(x)) for x in pdf[column]]
-            long = {c: [v for v, g in zip(pdf[c], got) for _ in g] for c in pdf.columns}
-            yield pd.DataFrame(long | {name: [x[i] for g in got for x in g] for i, name in enumerate(names)})
+            rows = [(*row, *x) for row, g in zip(pdf.itertuples(index=False), got) for x in g]
+            yield pd.DataFrame(rows, columns=[*pdf.columns, *names])
 
     return run
 
