@@ -1,36 +1,41 @@
-"""Held-out items that stand in documents, wholly or partly.
+"""Held-out items that stand in documents, wholly or partly, as they are or with other numbers and names.
 
 Both sides are brought to one form (compatibility letters, no case, marks, punctuation, line breaks or hyphenation) and then to
-templates: numbers, units and names (words that few items share) become typed placeholders that keep their value as a slot. The
-template windows of the items are indexed; a document's windows around a name that some item holds are hash-joined with them, and
-a window counts only if its slots agree. Items hit are then aligned with the document around the hits: runs of equal words are
-chained in the order of the item to passages, passages whose slots contradict the item are dropped (a re-parameterised question
-is not the item), and a document holds an item if its two best passages cover at least half of it.
-
-The items are the stated query set: they are few and fixed, their index is broadcast, in blocks of at most BLOCK_ITEMS items so
-that its size is bounded whatever the number of items. Every document is read whole.
+templates: numbers, units and names (words that few items share) become typed placeholders that keep their value as a slot.
+Template windows of both sides are hashed and hash-joined in Spark. Documents that share a window with an item are then compared
+with it template window by template window: windows chain in the order of the item to passages, and the slots of a passage are
+checked. Where most of them hold the item's own values, the passage is the item's text; where each name of the item has become
+one other name throughout, it is a re-parameterised question. A document holds an item if its one or two best passages cover at
+least half of the item.
+
+Items are the stated query set. They stay in Spark; all that documents are checked with beforehand are the hashes of the items'
+windows, broadcast while there are at most MAX_KEYS of them. With more, all windows of the documents take part in the join.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words of a template window; words of a run that seeds an alignment; share of an item that makes a leak: half, less what words
-#: changed at the edges of a passage leave uncounted.
-WINDOW, SEED, SHARE = 5, 4, 0.47
-#: A word is common, thus no name, if at least this many items hold it.
-COMMON = 3
-#: Items of one broadcast index, and the characters they may have together.
-BLOCK_ITEMS, BLOCK_CHARS = 20_000, 64_000_000
-#: Words that may be missing or strange between two runs of a passage, in the item and in the document.
+from recordloom.session import cut
+
+#: Words of a window that is joined with its names kept, of one joined as template only, and of a window of the comparison.
+WINDOW, WIDE, SEED = 5, 24, 4
+#: Share of an item that makes a leak.
+SHARE = 0.5
+#: A word is a name if at most this share of the distinct item texts holds it (or no more than two of them).
+NAME_SHARE, NAME_TEXTS = 0.01, 2
+#: Words that may be missing or strange between two windows of a passage, in the item and in the document.
 ITEM_GAP, DOC_GAP = 14, 40
+#: Hashes of items' windows that are broadcast as a filter: 32 MB.
+MAX_KEYS = 4_000_000
 
 # Units that a number may carry.
 UNITS = frozenset("b kb mb gb tb m k bn percent pts points hours hour days day years year minutes gpus billion million mrd mio prozent punkte stunden uhr tokens".split())
@@ -60,172 +65,280 @@ def words(text: str) -> list[str]:
     text = text.casefold()
     return (_PLAIN if text.isascii() else _TOKEN).findall(text)
 
+#: Types of tokens, the two lowest bits of a token: an ordinary word, a name, a number, a unit.
+WORD, NAME, NUM, UNIT = 0, 1, 2, 3
+_SLOT = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+
+
+class Typed:
+    """Words to tokens: 62 bits of a hash and the type of the word, given the words that many items share."""
+
+    def __init__(self, common: frozenset):
+        self.common, self.seen = common, {}
+
+    def token(self, w: str) -> int:
+        kind = NUM if w[0].isdigit() else WORD if w in self.common else UNIT if w in UNITS else WORD if _IS_LONE.match(w) else NAME
+        return (xxhash.xxh3_64_intdigest(w) >> 3 << 2) | kind
+
+    def __call__(self, text: str) -> np.ndarray:
+        if len(self.seen) > 500_000:
+            self.seen.clear()
+        seen, out = self.seen, []
+        for w in words(text):
+            t = seen.get(w)
+            if t is None:
+                t = seen[w] = self.token(w)
+            out.append(t)
+        return np.array(out, np.int64)
+
+
+def template(tokens: np.ndarray, keep_names: bool = False) -> np.ndarray:
+    """Tokens with slots as placeholders; names stay if they are kept."""
+    kind = tokens & 3
+    slot = kind >= (NUM if keep_names else NAME)
+    return np.where(slot, _SLOT[kind], tokens.astype(np.uint64))
+
+
+def window_hashes(values: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every window of so many values."""
+    n = len(values) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    h = np.full(n, size, np.uint64)
+    for j in range(size):
+        h = (h ^ values[j : j + n]) * np.uint64(0x9FB21C651E98DF25)
+        h ^= h >> np.uint64(32)
+    return h.astype(np.int64)
+
 
-class Index:
-    """Templates and texts of a block of items."""
-
-    def __init__(self, items: list[tuple[int, str]], common: frozenset, counts: dict | None = None):
-        self.common = common
-        counts = counts or {}
-        self.items = {i: words(t or "") for i, t in items}
-        self.windows: dict = defaultdict(list)
-        self.seeds: dict = {}
-        names: set = set()
-        for i, w in self.items.items():
-            marks = [self.mark(x) for x in w]
-            names.update(x for x, m in zip(w, marks) if m == "<name>")
-            wide, long = min(WINDOW, len(w)), min(SEED, len(w))
-            starts = range(len(w) - wide + 1) if w else ()
-            named = [at for at in starts if "<name>" in marks[at : at + wide]]
-            for at in named or starts:
-                self.windows[tuple(marks[at : at + wide])].append((i, at))
-                if not named:  # looked for around its rarest word, one that the template keeps if there is one
-                    names.add(w[min(range(at, at + wide), key=lambda k: (marks[k][0] == "<", counts.get(w[k], 0), w[k]))])
-            seeds = defaultdict(list)
-            for at in range(len(w) - long + 1) if w else ():
-                seeds[tuple(w[at : at + long])].append(at)
-            self.seeds[i] = dict(seeds)
-        self.windows = dict(self.windows)
-        self.names = frozenset(names)
-        self.sizes = sorted({len(t) for t in self.windows})
-
-    def mark(self, w: str) -> str:
-        return "<num>" if w[0].isdigit() else w if w in self.common else "<unit>" if w in UNITS else w if _IS_LONE.match(w) else "<name>"
-
-    def candidates(self, w: list[str]) -> dict[int, list[int]]:
-        """Item -> places in the document where a template window of the item stands with the same slots."""
-        out: dict = defaultdict(list)
-        hits = self.names.intersection(w)
-        if not hits:
-            return out
-        marks: dict = {}
-        for p, x in enumerate(w):
-            if x not in hits:
-                continue
-            for size in self.sizes:
-                for at in range(max(0, p - size + 1), min(p, len(w) - size) + 1):
-                    piece = w[at : at + size]
-                    template = tuple(marks.get(y) or marks.setdefault(y, self.mark(y)) for y in piece)
-                    for item, k in self.windows.get(template, ()):
-                        # slots agree: the names all, of the rest it is enough that the template is the same
-                        if all(a == b for a, b, m in zip(piece, self.items[item][k : k + size], template) if m == "<name>"):
-                            out[item].append(at)
-        return out
-
-    def coverage(self, item: int, w: list[str], places: list[int]) -> float:
-        """Share of the item's characters that the two best passages around the places cover."""
-        own, seeds = self.items[item], self.seeds[item]
-        reach, long = len(own) * 2 + DOC_GAP, min(SEED, len(own))
-        spans: list = []
-        for p in sorted(places):
-            a, b = max(0, p - reach), min(len(w), p + reach)
-            if spans and a <= spans[-1][1]:
-                spans[-1][1] = b
-            else:
-                spans.append([a, b])
-        open_: list = []  # passages: [last item position, last document position, pairs]
-        done: list = []
-        for a, b in spans:
-            for d in range(a, b - long + 1):
-                at = seeds.get(tuple(w[d : d + long]))
-                if not at:
-                    continue
-                still = []
+def item_keys(tokens: np.ndarray, renamed: bool) -> dict[int, int]:
+    """Position -> key of the windows that lead to an item.
+
+    As it is: the windows that hold a name, the names kept; of an item without any such window, all of them. Re-parameterised: the
+    wide windows that hold a slot, as templates. Items shorter than a window are one window.
+    """
+    if not len(tokens):
+        return {}
+    size = min(WIDE if renamed else WINDOW, len(tokens))
+    keys = window_hashes(template(tokens, not renamed), size)
+    wanted = (tokens & 3) != WORD if renamed else (tokens & 3) == NAME
+    held = np.convolve(wanted, np.ones(size, int))[size - 1 : len(tokens)] > 0
+    if not held.any():
+        held = np.full(len(keys), not renamed)
+    return {int(i): int(keys[i]) for i in np.flatnonzero(held)}
+
+
+def _extended(own: np.ndarray, doc: np.ndarray, k: int, d: int, step: int) -> Iterator[int]:
+    """Positions of the item that go on to agree from (k, d) in one direction, over single words changed, left out or added."""
+    n, m = len(own), len(doc)
+    inside = lambda i, j: 0 <= i < n and 0 <= j < m
+    while True:
+        if inside(k, d) and own[k] == doc[d]:
+            yield k
+            k, d = k + step, d + step
+            continue
+        for a, b in ((1, 1), (1, 0), (0, 1), (2, 2)):
+            i, j = k + a * step, d + b * step
+            if inside(i, j) and own[i] == doc[j] and inside(i + step, j + step) and own[i + step] == doc[j + step]:
+                if a:
+                    yield k
+                k, d = i, j
+                break
+        else:
+            return
+
+
+def passages(own: np.ndarray, doc: np.ndarray, places: list[int]) -> list[list[tuple[int, int]]]:
+    """Chains of template windows that item and document share, (item position, document position), around the places."""
+    t_own, t_doc = template(own), template(doc)
+    long = min(SEED, len(own))
+    at: dict = {}
+    for k, h in enumerate(window_hashes(t_own, long).tolist()):
+        at.setdefault(h, []).append(k)
+    reach = len(own) * 2 + DOC_GAP
+    spans: list = []
+    for p in sorted(places):
+        a, b = max(0, p - reach), min(len(doc), p + reach)
+        if spans and a <= spans[-1][1]:
+            spans[-1][1] = b
+        else:
+            spans.append([a, b])
+    open_: list = []  # [last item position, last document position, pairs]
+    done: list = []
+    for a, b in spans:
+        hashes = window_hashes(t_doc[a:b], long)
+        for d in np.flatnonzero(np.isin(hashes, np.fromiter(at, np.int64, len(at)))).tolist():
+            ks, d = at[int(hashes[d])], d + a
+            still = []
+            for x in open_:
+                (still if d - x[1] <= DOC_GAP else done).append(x)
+            open_ = still
+            for k in ks:
+                # a window goes on with the chain that it fits best; of equal fits, with the one whose last slots agree
+                best = None
                 for x in open_:
-                    (still if d - x[1] <= DOC_GAP else done).append(x)
-                open_ = still
-                for k in at:
-                    best = None
-                    for x in open_:
-                        step_i, step_d = k - x[0], d - x[1]
-                        if 0 < step_i <= ITEM_GAP and 0 < step_d:
-                            cost = abs(step_i - step_d) + (0 if step_i == step_d else 1)
-                            if best is None or cost < best[0]:
-                                best = (cost, x)
-                    if best is None:
-                        open_.append([k, d, [(k, d)]])
-                    else:
-                        x = best[1]
-                        x[0], x[1] = k, d
-                        x[2].append((k, d))
-        done += open_
-        scored = []
-        for _, _, pairs in done:
-            covered: set = set()
-            last = None
-            for k, d in pairs:
-                if last is not None and k - last <= SEED + 4:  # a few words changed in between
-                    covered.update(range(last, k))
-                covered.update(range(k, k + long))
-                last = k
-            lo, hi = min(covered), max(covered)
-            matched = {k + j for k, _ in pairs for j in range(long)}
-            slots = [k for k in range(lo, hi + 1) if self.mark(own[k]) in ("<name>", "<num>")]
-            names = [k for k in slots if self.mark(own[k]) == "<name>"]
-            if names and 2 * sum(k in matched for k in names) < len(names):
-                continue
-            if slots and 2 * sum(k in matched for k in slots) < len(slots):
-                continue
-            scored.append(frozenset(covered))
-        size = [len(x) for x in own]
-        total = sum(size) or 1
-        # passages that cover the same are one; the best pair is exact: a pair is passed over only if even without overlap it is no better
-        each = sorted(((sum(size[k] for k in c), c) for c in set(scored)), key=lambda x: -x[0])
-        best = each[0][0] if each else 0
-        for n, (alone, c) in enumerate(each):
-            if 2 * alone <= best or best == total:
+                    step_i, step_d = k - x[0], d - x[1]
+                    if 0 < step_i <= ITEM_GAP and 0 < step_d:
+                        cost = (abs(step_i - step_d) + (step_i != step_d), -int(own[x[0]] == doc[x[1]]))
+                        if best is None or cost < best[0]:
+                            best = (cost, x)
+                if best is None:
+                    open_.append([k, d, [(k, d)]])
+                else:
+                    x = best[1]
+                    x[0], x[1] = k, d
+                    x[2].append((k, d))
+    return [x[2] for x in done + open_]
+
+
+def covered(own: np.ndarray, doc: np.ndarray, pairs: list[tuple[int, int]], renamed: bool) -> frozenset:
+    """Positions of the item that a passage covers if its slots agree, else none.
+
+    As it is: at least half of the names and half of all slots within the passage hold the item's own values. Re-parameterised:
+    more than half hold other values, and every name of the item stands for one name of the document and the other way round
+    (numbers are the same by chance too often to tell).
+    """
+    long = min(SEED, len(own))
+    slot = (own & 3) != WORD
+    out: set = set()
+    aligned: dict = {}
+    last = None
+    for k, d in pairs:
+        if last is not None and k - last <= SEED + 4:  # a few words changed in between
+            out.update(range(last, k))
+        out.update(range(k, k + long))
+        aligned.update((k + j, d + j) for j in range(long))
+        last = k
+    same = own if not renamed else template(own)
+    other = doc if not renamed else template(doc)
+    first, end = pairs[0], pairs[-1]
+    out.update(_extended(same, other, first[0] - 1, first[1] - 1, -1))
+    out.update(_extended(same, other, end[0] + long, end[1] + long, 1))
+    inside = [k for k in range(min(out), max(out) + 1) if slot[k]]
+    if not renamed:
+        equal = lambda ks: 2 * sum(k in out and (k not in aligned or own[k] == doc[aligned[k]]) for k in ks) >= len(ks)
+        names = [k for k in inside if own[k] & 3 == NAME]
+        return frozenset(out) if equal(names) and equal(inside) else frozenset()
+    pairs_ = {(int(own[k]), int(doc[aligned[k]])) for k in inside if k in aligned and own[k] & 3 == NAME}
+    changed = sum(own[k] != doc[aligned[k]] for k in inside if k in aligned)
+    if 2 * changed <= len(inside) or len({a for a, _ in pairs_}) != len(pairs_) or len({b for _, b in pairs_}) != len(pairs_):
+        return frozenset()
+    return frozenset(out)
+
+
+def share_held(own: np.ndarray, sizes: np.ndarray, doc: np.ndarray, places: list[int], renamed: bool) -> float:
+    """Share of the item's characters that its two best passages in the document cover. The best pair is exact."""
+    found = {c for p in passages(own, doc, places) if (c := covered(own, doc, p, renamed))}
+    total = int(sizes.sum()) or 1
+    each = sorted(((int(sizes[list(c)].sum()), c) for c in found), key=lambda x: -x[0])
+    best = each[0][0] if each else 0
+    for n, (alone, c) in enumerate(each):
+        if 2 * alone <= best or best == total:
+            break  # even without overlap no pair from here on is better
+        for more, o in each[n + 1 :]:
+            if alone + more <= best:
                 break
-            for more, o in each[n + 1 :]:
-                if alone + more <= best:
-                    break
-                best = max(best, alone + sum(size[k] for k in o - c))
-        return best / total
+            best = max(best, alone + int(sizes[list(o - c)].sum()))
+    return best / total
 
 
-_OUT = "doc_id bigint, item_id bigint, share double"
+def common_words(items: DataFrame) -> frozenset:
+    """Words that too many distinct item texts hold to be names. At most the words of an item / NAME_SHARE of them can be."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame([(w,) for t in pdf.text for w in {" ", *words(t)}], columns=["w"])
+
+    texts = items.select("text").where(F.length("text") > 0).distinct()
+    counts = cut(texts.mapInPandas(run, "w string").groupBy("w").agg(F.count("*").alias("n")))
+    n = counts.where("w = ' '").agg(F.max("n")).head()[0] or 0
+    return frozenset(r["w"] for r in counts.where((F.col("n") > max(NAME_TEXTS, NAME_SHARE * n)) & (F.col("w") != " ")).toLocalIterator())
+
+
+def _item_rows(common, renamed: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        typed = Typed(common.value)
+        for pdf in batches:
+            out = []
+            for i, t in zip(pdf.item_id, pdf.text):
+                tokens = typed(t)
+                keys = item_keys(tokens, renamed)
+                out.append((i, tokens.tolist(), [len(w) for w in words(t)], [[p, k] for p, k in keys.items()], min(WIDE if renamed else WINDOW, len(tokens))))
+            yield pd.DataFrame(out, columns=["item_id", "own", "sizes", "keys", "size"])
+
+    return run
 
 
-def _find(index, share: float):
+def _document_rows(common, filter_, sizes: list[int], renamed: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ix = index.value
+        typed = Typed(common.value)
+        wanted = None if filter_ is None else filter_.value
         for pdf in batches:
             out = []
             for doc, text in zip(pdf.doc_id, pdf.text):
-                w = words(text)
-                for item, places in ix.candidates(w).items():
-                    got = ix.coverage(item, w, places)
-                    if got >= share:
-                        out.append((doc, item, round(got, 4)))
+                tokens = typed(text)
+                values = template(tokens, not renamed)
+                keys, places = [], []
+                for size in sizes:
+                    h = window_hashes(values, size)
+                    if wanted is not None and len(h):
+                        at = np.searchsorted(wanted, h)
+                        at[at == len(wanted)] = 0
+                        hit = np.flatnonzero(wanted[at] == h)
+                    else:
+                        hit = np.arange(len(h))
+                    keys += h[hit].tolist()
+                    places += hit.tolist()
+                if keys:
+                    out.append((doc, tokens, keys, places))
+            yield pd.DataFrame(out, columns=["doc_id", "doc", "keys", "places"])
+
+    return run
+
+
+def _compare(renamed: bool, least: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for doc_id, doc, asked in zip(pdf.doc_id, pdf.doc, pdf.asked):
+                doc = np.asarray(doc, np.int64)
+                for x in asked:
+                    own, sizes = np.asarray(x["own"], np.int64), np.asarray(x["sizes"], np.int64)
+                    got = share_held(own, sizes, doc, list(x["places"]), renamed)
+                    if got >= least:
+                        out.append((doc_id, x["item_id"], round(got, 4)))
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "share"])
 
     return run
 
 
-def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
+def leaks(documents: DataFrame, items: DataFrame, share: float = SHARE, renamed: bool = False) -> DataFrame:
     """(doc_id, item_id, share): documents that hold at least this share of an item as one or two passages.
 
-    NULL and empty texts of either side hold nothing. Items with fewer words than a window are found where they stand whole. An
-    item without any name is found by its windows without one; of one with names, a part is found only if a window with a name
-    stands in it. Repeated documents or items give repeated ids once. No items or no documents: no rows.
+    renamed: documents that hold it with other numbers and names instead, each replaced throughout; at least WIDE words (or the
+    whole item) of it must stand in one piece. NULL and empty texts of either side hold nothing. Items with fewer words than a
+    window are found where they stand whole. An item without any name is found by its windows without one; of one with names, a
+    part is found only if a window with a name stands in it. Repeated documents or items give repeated ids once. No items or no
+    documents: no rows.
     """
     spark = documents.sparkSession
     texts = documents.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") > 0))
-    rows = sorted({(r["item_id"], r["text"]) for r in items.select("item_id", "text").where("text is not null").toLocalIterator()})
-    counts: Counter = Counter()
-    for w in {tuple(words(t)) for _, t in rows}:  # an item under several ids counts once
-        counts.update(set(w))
-    common = frozenset(w for w, n in counts.items() if n >= COMMON)
-    blocks: list = [[]]
-    chars = 0
-    for r in rows:
-        if len(blocks[-1]) >= BLOCK_ITEMS or chars + len(r[1]) > BLOCK_CHARS:
-            blocks.append([])
-            chars = 0
-        blocks[-1].append(r)
-        chars += len(r[1])
-    out = None
-    for block in blocks:
-        index = spark.sparkContext.broadcast(Index(block, common, counts))
-        found = texts.mapInPandas(_find(index, share), _OUT)
-        out = found if out is None else out.unionByName(found)
-    return out.groupBy("doc_id", "item_id").agg(F.max("share").alias("share"))
+    asked = items.select("item_id", "text").where(F.length("text") > 0).distinct()
+    common = spark.sparkContext.broadcast(common_words(asked))
+    rows = cut(asked.mapInPandas(_item_rows(common, renamed), "item_id bigint, own array<bigint>, sizes array<int>, keys array<array<bigint>>, size int"))
+    index = rows.select("item_id", F.explode("keys").alias("k")).select("item_id", F.col("k")[1].alias("key"))
+    index = index.distinct()
+    sizes = sorted(r["size"] for r in rows.select("size").where("size > 0").distinct().collect())  # at most one for each size of a window
+    distinct = index.select("key").distinct()
+    filter_ = None
+    if distinct.limit(MAX_KEYS + 1).count() <= MAX_KEYS:
+        filter_ = spark.sparkContext.broadcast(np.sort(distinct.toPandas()["key"].to_numpy(np.int64)))
+        if not len(filter_.value):
+            return spark.createDataFrame([], "doc_id bigint, item_id bigint, share double")
+    hits = cut(texts.mapInPandas(_document_rows(common, filter_, sizes, renamed), "doc_id bigint, doc array<bigint>, keys array<bigint>, places array<int>"))
+    at = hits.select("doc_id", F.explode(F.arrays_zip("keys", "places")).alias("x")).select("doc_id", F.col("x.keys").alias("key"), F.col("x.places").alias("place"))
+    joined = at.join(index, "key").groupBy("doc_id", "item_id").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    with_item = joined.join(rows.select("item_id", "own", "sizes"), "item_id")
+    by_doc = with_item.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "own", "sizes", "places")).alias("asked"))
+    found = hits.select("doc_id", "doc").join(by_doc, "doc_id").mapInPandas(_compare(renamed, share), "doc_id bigint, item_id bigint, share double")
+    return found.groupBy("doc_id", "item_id").agg(F.max("share").alias("share"))

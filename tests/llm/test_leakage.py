@@ -54,14 +54,47 @@ def test_found_and_not_found(spark, items):
     assert {(r.doc_id, r.item_id) for r in L.leaks(d, i).collect()} == expected
 
 
-def test_blocks_do_not_matter(spark, items, monkeypatch):
+def test_filter_does_not_matter(spark, items, monkeypatch):
     d = spark.createDataFrame([(k, t) for k, t in items], "doc_id long, text string")
     i = d.withColumnRenamed("doc_id", "item_id")
     whole = {tuple(r) for r in L.leaks(d, i).collect()}
-    monkeypatch.setattr(L, "BLOCK_ITEMS", 7)
+    monkeypatch.setattr(L, "MAX_KEYS", 0)
     assert {tuple(r) for r in L.leaks(d, i).collect()} == whole and len(whole) == 30
 
 
+def test_reparameterised_questions(spark, items):
+    """The same sentences with each name and number replaced throughout are found, those with mixed replacements are not."""
+    text, rng = dict(items), random.Random(9)
+    names = {w.strip(".,") for w in text[1].split() if w[0].isupper() and len(w.strip(".,")) == 10}
+    new = {n: name(rng) for n in names}
+    swapped = " ".join(new.get(w.strip(".,"), w.strip(".,")) + w[len(w.strip(".,")) :] for w in text[1].split())
+    numbers = swapped.replace("32", "61").replace("74", "55").replace("2018", "2011").replace("2014", "2009").replace("294.2", "310.7")
+    repeated = f"{text[2]} Again, {' '.join(w for w in text[2].split())}"
+    once = next(w.strip(".,") for w in text[2].split() if w[0].isupper() and len(w.strip(".,")) == 10)
+    half = repeated.replace(once, "Zudofemika", 1).replace(once, "Balirotuve")
+    docs = [(1, f"{other(rng, 2)} {numbers} {other(rng, 2)}"), (2, text[1]), (3, half), (4, other(rng, 6)), (5, None)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.share for r in L.leaks(d, i, renamed=True).collect()}  # the items share sentences, so others are met too
+    assert got[1, 1] > 0.99 and (2, 1) not in got and (3, 2) not in got
+    assert {(r.doc_id, r.item_id) for r in L.leaks(d, i).collect()} == {(2, 1), (3, 2)}
+    assert L.leaks(d.limit(0), i, renamed=True).count() == 0 and L.leaks(d, i.limit(0), renamed=True).count() == 0
+
+
+def test_window_hashes_and_shares_against_brute_force():
+    """Hashes are equal exactly where windows are, and the best pair of passages is the best of all pairs."""
+    import numpy as np
+
+    rng = random.Random(2)
+    typed = L.Typed(frozenset("abcdefgh"))
+    v = L.template(typed(" ".join(rng.choice("abcxy123") for _ in range(400))))
+    h = L.window_hashes(v, 4)
+    for i in range(0, len(h), 7):
+        for j in range(len(h)):
+            assert (h[i] == h[j]) == bool((v[i : i + 4] == v[j : j + 4]).all())
+    assert len(L.window_hashes(v[:3], 4)) == 0 and not np.isin(v, [0]).any()
+
+
 def test_empty(spark, items):
     i = spark.createDataFrame(items, "item_id long, text string")
     d = i.withColumnRenamed("item_id", "doc_id")

@@ -12,13 +12,16 @@ def found(spark, docs, items):
 
 def test_best_pair_among_many_passages():
     own = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(60)]
-    ix = L.Index([(1, " ".join(own))], frozenset())
+    import numpy as np
+
+    typed = L.Typed(frozenset())
     gap = ["zz"] * (L.DOC_GAP * 6)
     doc = []
     for k in range(12):  # parts of the first third, each a little else, and one smaller passage of the end
         doc += own[k % 6 : 20 + k % 3] + gap
     doc += own[48:58]
-    got = ix.coverage(1, doc, ix.candidates(doc)[1])
+    sizes = np.array([len(w) for w in own])
+    got = L.share_held(typed(" ".join(own)), sizes, typed(" ".join(doc)), list(range(len(doc))), renamed=False)
     assert got == pytest.approx((20 + 10) / 60)
 
 
@@ -36,6 +39,8 @@ def test_short_items(spark):
 
 
 @pytest.mark.parametrize("text", [
+    "The lab Vokabira lends seven schedulers to Tumodega in the spring", "Das Labor Vokabira verleiht sieben Planer an Tumodega im Frühling", "Le laboratoire Vokabira prête sept ordonnanceurs à Tumodega au printemps",
+    "El laboratorio Vokabira presta siete planificadores a Tumodega en primavera", "第二轮里Nolonuleso回答了四十三题，其中七题答错，在五十四个节点上。",
     "Лаборатория Вокабира передаёт семь планировщиков компании Тумодега для проверки весной", "المختبر فوكابيرا يعير سبعة برامج إلى شركة تومودغا في الربيع القادم",
     "प्रयोगशाला वोकाबिरा सात अनुसूचक तुमोदेगा को वसंत में उधार देती है", "ห้องทดลองโวกาบิราให้ยืมตัวจัดตารางเจ็ดตัวแก่ทูโมเดกา", "ヴォカビラけんきゅうじょはスケジューラをトゥモデガにかします", "Το εργαστήριο Βοκαμπίρα δανείζει επτά προγράμματα στην Τουμοντέγκα",
 ])
