@@ -111,20 +111,32 @@ def window_hashes(values: np.ndarray, size: int) -> np.ndarray:
     return h.astype(np.int64)
 
 
+def compared(tokens: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every window of the comparison: its template, or its own words where the template holds nothing but slots."""
+    n = len(tokens) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    words = np.convolve((tokens & 3) == WORD, np.ones(size, int))[size - 1 : len(tokens)]
+    return np.where(words > 0, window_hashes(template(tokens), size), ~window_hashes(tokens.astype(np.uint64), size))
+
+
 def item_keys(tokens: np.ndarray, renamed: bool) -> dict[int, int]:
     """Position -> key of the windows that lead to an item.
 
     As it is: the windows that hold a name, the names kept; of an item without any such window, all of them. Re-parameterised: the
-    wide windows that hold a slot, as templates. Items shorter than a window are one window.
+    wide windows that hold a slot but at least as many words, as templates. Items shorter than a window are one window.
     """
     if not len(tokens):
         return {}
     size = min(WIDE if renamed else WINDOW, len(tokens))
     keys = window_hashes(template(tokens, not renamed), size)
     wanted = (tokens & 3) != WORD if renamed else (tokens & 3) == NAME
-    held = np.convolve(wanted, np.ones(size, int))[size - 1 : len(tokens)] > 0
-    if not held.any():
-        held = np.full(len(keys), not renamed)
+    count = lambda x: np.convolve(x, np.ones(size, int))[size - 1 : len(tokens)]
+    held = count(wanted) > 0
+    if renamed:
+        held &= 2 * count(wanted) <= size
+    elif not held.any():
+        held = np.full(len(keys), True)
     return {int(i): int(keys[i]) for i in np.flatnonzero(held)}
 
 
@@ -150,10 +162,9 @@ def _extended(own: np.ndarray, doc: np.ndarray, k: int, d: int, step: int) -> It
 
 def passages(own: np.ndarray, doc: np.ndarray, places: list[int]) -> list[list[tuple[int, int]]]:
     """Chains of template windows that item and document share, (item position, document position), around the places."""
-    t_own, t_doc = template(own), template(doc)
     long = min(SEED, len(own))
     at: dict = {}
-    for k, h in enumerate(window_hashes(t_own, long).tolist()):
+    for k, h in enumerate(compared(own, long).tolist()):
         at.setdefault(h, []).append(k)
     reach = len(own) * 2 + DOC_GAP
     spans: list = []
@@ -166,7 +177,7 @@ def passages(own: np.ndarray, doc: np.ndarray, places: list[int]) -> list[list[t
     open_: list = []  # [last item position, last document position, pairs]
     done: list = []
     for a, b in spans:
-        hashes = window_hashes(t_doc[a:b], long)
+        hashes = compared(doc[a:b], long)
         for d in np.flatnonzero(np.isin(hashes, np.fromiter(at, np.int64, len(at)))).tolist():
             ks, d = at[int(hashes[d])], d + a
             still = []
