@@ -185,7 +185,7 @@ def _scores(looked: DataFrame, index: DataFrame) -> DataFrame:
         F.max("idf").alias("idf"), F.collect_list(F.struct("term_id", "alias", "exact", "alias_norm")).alias("holders")))
     unseen = size.select("field_name", (F.log(F.col("n_terms") + 1) * UNSEEN).alias("unseen"))
 
-    # the forms are few bytes but many n-grams: a fixed number of partitions, which adaptive execution does not merge into one
+    # as above: adaptive execution would merge the forms into one partition
     parts = int(looked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     distinct = looked.select("field_name", "form").distinct().repartition(parts, "field_name", "form")
     q = distinct.withColumn("gram", F.explode(grams(F.col("form")))).join(postings, ["field_name", "gram"], "left").join(unseen, "field_name")
@@ -208,8 +208,11 @@ def _scores(looked: DataFrame, index: DataFrame) -> DataFrame:
 
 def _looked(values: DataFrame, index: DataFrame) -> DataFrame:
     """(field_name, value, form, weight): the forms of each value, and those forms again with none but words of the index."""
-    each = values.select("field_name", "value", F.explode(forms(F.col("value"), F.col("field_name"))).alias("f")).select("field_name", "value", "f.form", "f.weight")
-    each = each.groupBy("field_name", "value", "form").agg(F.max("weight").alias("weight"))
+    # few bytes but many expressions: a fixed number of partitions, and written once for the three uses below
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = values.repartition(parts, "field_name", "value")
+    each = spread.select("field_name", "value", F.explode(forms(F.col("value"), F.col("field_name"))).alias("f")).select("field_name", "value", "f.form", "f.weight")
+    each = cut(each.groupBy("field_name", "value", "form").agg(F.max("weight").alias("weight")))
     words = index.where("not exact").select("field_name", F.explode(F.split("alias", " ")).alias("word")).distinct()
     at = each.select("field_name", "form").distinct().select("field_name", "form", F.posexplode(F.split("form", " ")).alias("pos", "word"))
     known = at.join(words, ["field_name", "word"]).groupBy("field_name", "form").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda x: x["word"]), " ").alias("known"))
