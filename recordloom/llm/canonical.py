@@ -187,7 +187,7 @@ def _scores(looked: DataFrame, index: DataFrame) -> DataFrame:
 
     # as above: adaptive execution would merge the forms into one partition
     parts = int(looked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = looked.select("field_name", "form").distinct().repartition(parts, "field_name", "form")
+    distinct = looked.select("field_name", "form").distinct().repartition(parts)
     q = distinct.withColumn("gram", F.explode(grams(F.col("form")))).join(postings, ["field_name", "gram"], "left").join(unseen, "field_name")
     q = q.withColumn("w", F.coalesce("idf", "unseen"))
     form_norms = q.groupBy("field_name", "form").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("form_norm"))
@@ -210,7 +210,7 @@ def _looked(values: DataFrame, index: DataFrame) -> DataFrame:
     """(field_name, value, form, weight): the forms of each value, and those forms again with none but words of the index."""
     # few bytes but many expressions: a fixed number of partitions, and written once for the three uses below
     parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = values.repartition(parts, "field_name", "value")
+    spread = values.repartition(parts)
     each = spread.select("field_name", "value", F.explode(forms(F.col("value"), F.col("field_name"))).alias("f")).select("field_name", "value", "f.form", "f.weight")
     each = cut(each.groupBy("field_name", "value", "form").agg(F.max("weight").alias("weight")))
     words = index.where("not exact").select("field_name", F.explode(F.split("alias", " ")).alias("word")).distinct()
