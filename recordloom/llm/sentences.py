@@ -6,12 +6,15 @@ before it (abbreviation, initial, ordinal, number) and what comes after. Its sta
 bracket, a list or heading line. A stretch of symbols is a function from states to states; functions are composed by a
 block-wise parallel prefix scan, so no symbol waits for the whole text before it. Texts longer than a chunk are cut into chunks
 that run as separate rows: each gives its function and, for every state it could start in, its boundaries; the functions are
-composed for each document and the boundaries that fit the state reached are kept.
+composed for each document and the boundaries that fit the state reached are kept. What a symbol needs to know from further away
+(whether a quote closes before the next blank line, which numbers the list lines since the last one had) is gathered for each
+chunk first and composed from right to left and from left to right in the same way.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +26,8 @@ from recordloom.session import cut
 
 #: Characters of a chunk, and of the neighbourhood that chunks share on each side.
 CHUNK, CONTEXT = 65_536, 1_024
-#: How far the partner of an opening quote or bracket is looked for; one without a partner opens nothing.
-REACH = 1_000
+#: Documents that may come more than once and still be told apart by a broadcast of their ids (8 MB).
+REPEATED = 1_000_000
 #: Symbols handled by one prefix scan, and symbols of one of its blocks.
 SCAN, BLOCK = 100_000, 64
 
@@ -195,11 +198,46 @@ def _opened(text: str, i: int) -> int:
 _PARTNERS = {"“": "”“", "«": "»", "「": "」", "『": "』", "‹": "›", "„": "“”'", "‚": "‘’'", "(": ")", "（": "）)", "[": "]", "【": "】"}
 
 
-def _has_partner(text: str, c: str, j: int) -> bool:
-    """Whether what opens here closes again before the next blank line, within reach."""
-    stop = text.find("\n\n", j, j + REACH)
-    stop = min(len(text), j + REACH) if stop < 0 else stop
-    return any(text.find(x, j, stop) >= 0 for x in _PARTNERS[c])
+_CLOSING = sorted({x for p in _PARTNERS.values() for x in p})
+_NUMBERED = re.compile(r"(?:^|(?<=\n))(\d{1,3}[.)]) ")
+
+
+class Ahead:
+    """Whether what opens closes again before the next blank line. Asked from left to right; every mark is looked for once."""
+
+    def __init__(self, text: str, beyond: str = ""):
+        self.text, self.beyond, self.at, self.stop = text, beyond, {}, -1
+
+    def __call__(self, c: str, j: int) -> bool:
+        if self.stop < j:
+            self.stop = self.text.find("\n\n", j)
+            self.stop = len(self.text) + 1 if self.stop < 0 else self.stop
+        for x in _PARTNERS[c]:
+            if self.at.get(x, -1) < j:
+                at = self.text.find(x, j)
+                self.at[x] = len(self.text) + 2 if at < 0 else at
+            if self.at[x] < self.stop or (self.stop > len(self.text) and x in self.beyond):
+                return True
+        return False
+
+
+class Numbered:
+    """Which numbers the list lines since the last blank line had, from the start of a stretch on."""
+
+    def __init__(self, text: str, first: int = 0, before: frozenset = frozenset()):
+        self.text, self.first, self.before = text, first, before
+        self.lines: dict = {}
+        for m in _NUMBERED.finditer(text, first):
+            self.lines.setdefault(m[1], []).append(m.start())
+
+    def __call__(self, number: str, i: int) -> bool:
+        """Whether a line with this number begins between the last blank line before i and i."""
+        blank = self.text.rfind("\n\n", max(self.first - 1, 0), i)
+        if blank < 0 and number in self.before:
+            return True
+        at = self.lines.get(number, ())
+        k = bisect_left(at, i) - 1
+        return k >= 0 and at[k] >= blank
 
 
 def _closed(text: str, i: int, j: int) -> int:
@@ -221,19 +259,27 @@ def _closed(text: str, i: int, j: int) -> int:
     return 1 if k == "p" and c in "•-*" and at > j else 0
 
 
-def symbols(text: str, first: int = 0, last: int | None = None) -> tuple[list[int], list[int]]:
-    """Symbols and cut offsets of the marks that begin in [first, last); text outside is only looked at as neighbourhood."""
+def symbols(text: str, first: int = 0, last: int | None = None, beyond: str = "", before: frozenset = frozenset()) -> tuple[list[int], list[int]]:
+    """Symbols and cut offsets of the marks that begin in [first, last); text outside is only looked at as neighbourhood.
+
+    beyond: closing marks that stand after the text and before the next blank line; before: numbers of the list lines between the
+    last blank line and first.
+    """
     last = len(text) if last is None else last
+    partner, numbered = Ahead(text, beyond), None
     syms: list[int] = []
     cuts: list[int] = []
     if first == 0 and (m := _MARKER.match(text, len(text) - len(text.lstrip()))) and m.end() < len(text):
         syms.append(LIST)
         cuts.append(0)
     skip = first
-    for m in (_EVENT_THAI if _THAI.search(text) else _EVENT).finditer(text, max(0, first - 1)):
+    if first and text[first - 1] in _MARKS:  # runs that began before this stretch belong to the stretch before
+        skip = _RUN.match(text, first).end()
+    elif first and text[first - 1].isspace() and "\n" in text[len(text[:first].rstrip()) : first]:
+        skip = _SPACE.match(text, first).end()
+    for m in (_EVENT_THAI if _THAI.search(text) else _EVENT).finditer(text, first):
         i = m.start()
         if i < skip:
-            # a run that began before this stretch belongs to the stretch before
             continue
         if i >= last:
             break
@@ -262,9 +308,8 @@ def symbols(text: str, first: int = 0, last: int | None = None) -> tuple[list[in
                 else:
                     continue
             elif mark[1]:  # a number begins a list line after a list line with the number before only
-                n, block = int(mark[1]), max(text.rfind("\n\n", 0, i), 0)
-                prev = text.rfind(f"\n{n - 1}{mark[0].strip()[-1]} ", block, i) if n > 1 else -1
-                if prev < 0 and not text[block:].lstrip("\n").startswith(f"{n - 1}{mark[0].strip()[-1]} "):
+                numbered = numbered or Numbered(text, first, before)
+                if not numbered(f"{int(mark[1]) - 1}{mark[0].strip()[-1]}", i):
                     continue
                 s, at = LIST, i
             else:
@@ -292,7 +337,7 @@ def symbols(text: str, first: int = 0, last: int | None = None) -> tuple[list[in
                 continue
             s, at = END, i
         elif g in ("open", "gopen"):
-            if not _has_partner(text, c0, j):
+            if not partner(c0, j):
                 continue
             s, at = (OPEN if g == "open" else GOPEN) + _opened(text, i), j
         elif g == "close":
@@ -306,12 +351,12 @@ def symbols(text: str, first: int = 0, last: int | None = None) -> tuple[list[in
             shut = i > 0 and not text[i - 1].isspace() and not text[j : j + 1].isalnum() and text[j : j + 1] not in "¿¡"
             if shut and g == "amb":
                 s, at = CLOSE + _closed(text, i, j), j
-            elif g == "amb" and not _has_partner(text, c0, j) and i and text[i - 1].isspace():
+            elif g == "amb" and not partner(c0, j) and i and text[i - 1].isspace():
                 continue
             else:
                 s, at = (AMB if g == "amb" else ASC) + 3 * _opened(text, i) + _closed(text, i, j), j
         elif g == "po":
-            if not _has_partner(text, c0, j):
+            if not partner(c0, j):
                 continue
             s, at = PO + _opened(text, i), j
         else:
@@ -414,55 +459,90 @@ def _whole_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield run(held, sym)
 
 
-_PARTS = "doc_id bigint, chunk int, cut bigint, end_pos bigint, next_pos bigint, fires int, f array<int>"
+_PIECES = "doc_id bigint, chunk int, base bigint, first int, last int, n bigint, text string, closing string, numbers array<string>, blank boolean"
 
 
-def _chunk_parts(chunk: int, context: int):
-    every = np.arange(N_STATES)
+def _pieces(chunk: int, context: int):
+    """Chunks with a neighbourhood that is wide enough for what is looked at: white space and runs of marks are never cut off."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for doc, k, text, n in zip(pdf.doc_id, pdf.chunk, pdf.text, pdf.n):
-                base = max(0, k * chunk - context)  # offset of text in the document
-                first = k * chunk - base
-                s, c = symbols(text, first, min(len(text), first + chunk))
-                if k:  # the marker of a first line is a matter of the document's start
-                    pass
-                arr = np.array(s, np.intp)
-                before = scan(arr, every)
-                f = TO[arr[-1], before[-1]] if len(arr) else every
-                out.append((doc, k, None, None, None, 0, [int(x) for x in f]))
-                fires = OUT[arr[:, None], before] if len(arr) else np.zeros((0, N_STATES), bool)
-                masks = (fires * (1 << every)).sum(axis=1)
-                for at, mask in zip(c, masks.tolist()):
-                    if mask:
-                        left = len(text[:at].rstrip())
-                        right = at + len(text[at:]) - len(text[at:].lstrip())
-                        out.append((doc, k, base + at, base + left, base + right + 1, mask, None))
-                if k == 0:
-                    out.append((doc, 0, 0, 0, len(text) - len(text.lstrip()) + 1, -1, None))
-                if base + len(text) >= n:
-                    out.append((doc, k, n, base + len(text.rstrip()), n + 1, -1, None))
-            yield pd.DataFrame(out, columns=["doc_id", "chunk", "cut", "end_pos", "next_pos", "fires", "f"]).astype({"cut": "Int64", "end_pos": "Int64", "next_pos": "Int64"})
+            for doc, text in zip(pdf.doc_id, pdf.text):
+                n = len(text)
+                for k in range(-(-n // chunk)):
+                    a, b = k * chunk, min(n, (k + 1) * chunk)
+                    base, stop = max(0, a - context), min(n, b + context)
+                    while base and (text[base].isspace() or text[base] in _MARKS):
+                        base = max(0, base - context)
+                    while stop < n and (text[stop - 1].isspace() or text[stop - 1] in _MARKS):
+                        stop = min(n, stop + context)
+                    own = text[a : min(n, b + 1)]  # a blank line may begin with the last character
+                    blank = own.find("\n\n")
+                    closing = "".join(x for x in _CLOSING if own.find(x, 0, b - a if blank < 0 else blank) >= 0)
+                    last_blank = own.rfind("\n\n")
+                    numbers = sorted({m[1] for m in _NUMBERED.finditer(text[: b + 8], max(a, a + last_blank)) if m.start() < b})
+                    yield pd.DataFrame([(doc, k, base, a - base, b - base, n, text[base:stop], closing, numbers, blank >= 0)], columns=["doc_id", "chunk", "base", "first", "last", "n", "text", "closing", "numbers", "blank"])
 
     return run
 
 
+_PARTS = "doc_id bigint, chunk int, cut bigint, end_pos bigint, next_pos bigint, fires int, f array<int>"
+
+
+def _chunk_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    every = np.arange(N_STATES)
+    for pdf in batches:
+        out = []
+        for doc, k, base, first, last, n, text, beyond, before in zip(pdf.doc_id, pdf.chunk, pdf.base, pdf["first"], pdf["last"], pdf.n, pdf.text, pdf.beyond, pdf.before):
+            s, c = symbols(text, first, last, beyond if base + len(text) < n else "", frozenset(before))
+            arr = np.array(s, np.intp)
+            before_ = scan(arr, every)
+            f = TO[arr[-1], before_[-1]] if len(arr) else every
+            out.append((doc, k, None, None, None, 0, [int(x) for x in f]))
+            fires = OUT[arr[:, None], before_] if len(arr) else np.zeros((0, N_STATES), bool)
+            masks = (fires * (1 << every)).sum(axis=1)
+            for at, mask in zip(c, masks.tolist()):
+                if mask:
+                    left = at
+                    while left and text[left - 1].isspace():
+                        left -= 1
+                    out.append((doc, k, base + at, base + left, base + _SPACE.match(text, at).end() + 1, mask, None))
+            if k == 0:
+                out.append((doc, 0, 0, 0, len(text) - len(text.lstrip()) + 1, -1, None))
+            if base + last >= n:
+                out.append((doc, k, n, base + len(text.rstrip()), n + 1, -1, None))
+        yield pd.DataFrame(out, columns=["doc_id", "chunk", "cut", "end_pos", "next_pos", "fires", "f"]).astype({"cut": "Int64", "end_pos": "Int64", "next_pos": "Int64"})
+
+
+def _once(texts: DataFrame) -> DataFrame:
+    """One row for each doc_id: rows delivered twice are told by their ids alone, so that no text is moved but theirs."""
+    repeated = cut(texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    n = repeated.count()
+    if n == 0:
+        return texts
+    ids = F.broadcast(repeated) if n <= REPEATED else repeated
+    return texts.join(ids, "doc_id", "left_anti").unionByName(texts.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
+
+
 def sentences(documents: DataFrame, chunk: int = CHUNK, context: int = CONTEXT) -> DataFrame:
     """(doc_id, start_pos, end_pos): the sentences of every document, positions in characters from 1, both inclusive.
 
-    NULL, empty and blank texts have no sentence. Repeated documents give repeated rows. A text that has no boundary is one
-    sentence. Quotes and brackets that never close end at the next blank line or list line.
+    NULL, empty and blank texts have no sentence, nor have rows without doc_id. Repeated documents count once (of different texts under one doc_id the smallest).
+    A text that has no boundary is one sentence. Quotes and brackets that do not close before the next blank line open nothing.
+    Texts longer than a chunk give the same sentences as in one piece.
     """
-    texts = documents.select("doc_id", "text").where(F.col("text").isNotNull())
+    texts = _once(documents.select("doc_id", "text").where("doc_id is not null and text is not null"))
     n = F.length("text")
     short = texts.where(n <= chunk).mapInPandas(_whole_texts, _SPANS)
-    pieces = texts.where(n > chunk).select("doc_id", "text", n.alias("n"), F.explode(F.sequence(F.lit(0), ((n - 1) / chunk).cast("int"))).alias("chunk"))
-    begin = F.greatest(F.lit(0), F.col("chunk") * chunk - context)
-    stop = F.least(F.col("n"), (F.col("chunk") + 1) * chunk + context)
-    pieces = pieces.select("doc_id", "chunk", "n", F.substring("text", begin + 1, stop - begin).alias("text"))
-    parts = cut(pieces.mapInPandas(_chunk_parts(chunk, context), _PARTS))
+    parts_ = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = cut(texts.where(n > chunk).mapInPandas(_pieces(chunk, context), _PIECES).repartition(parts_))
+    # what lies ahead of and behind each chunk up to a blank line: the same composition, a few marks and numbers a chunk
+    known = pieces.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk", "closing", "numbers", "blank"))).alias("all"))
+    ahead = F.aggregate(F.reverse("all"), F.array(F.lit("")), lambda acc, x: F.concat(acc, F.array(F.when(x["blank"], x["closing"]).otherwise(F.concat(x["closing"], F.element_at(acc, -1))))))
+    behind = F.aggregate("all", F.array(F.array().cast("array<string>")), lambda acc, x: F.concat(acc, F.array(F.when(x["blank"], x["numbers"]).otherwise(F.array_union(F.element_at(acc, -1), x["numbers"])))))
+    around = known.select("doc_id", F.size("all").alias("k"), ahead.alias("ahead"), behind.alias("behind"))
+    around = around.select("doc_id", F.posexplode(F.arrays_zip(F.reverse(F.slice("ahead", F.lit(1), F.col("k"))).alias("beyond"), F.slice("behind", F.lit(1), F.col("k")).alias("before"))).alias("chunk", "x")).select("doc_id", "chunk", "x.beyond", "x.before")
+    parts = cut(pieces.join(around, ["doc_id", "chunk"]).mapInPandas(_chunk_parts, _PARTS))
     functions = parts.where(F.col("f").isNotNull()).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk", "f"))).alias("fs"))
     # states in which the chunks start: a running composition over the functions of one document, twenty numbers a chunk
     zero = F.array(F.lit(0))

@@ -2,6 +2,8 @@ import random
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from recordloom.llm import sentences as S
 
@@ -77,10 +79,51 @@ def test_chunks_equal_whole_texts(spark):
         assert len(got) == len(set(got)) and set(got) == expected
 
 
+def test_long_document_twice(spark):
+    quote = "“" + "They measured it again. " * 90 + "It held.” Then they left."
+    df = spark.createDataFrame([(1, quote)] * 2 + [(2, "A b. C d.")] * 2, "doc_id long, text string")
+    got = sorted(tuple(r) for r in S.sentences(df, chunk=500).collect())
+    assert got == sorted([(1, a, b) for a, b in S.split(quote)] + [(2, 1, 4), (2, 6, 9)])
+    assert sum(r[0] == 1 for r in got) == 2
+
+
+def test_what_lies_far_ahead_or_behind(spark):
+    inner = "It was measured once more. " * 80  # over 2,000 characters
+    docs = [
+        f"She said “{inner.strip()}” and left. He (so {inner.strip()}) stayed. End.", f"She said “{inner} and left.\n\nAn end” here. End.", f"Before (so {inner}\n\n) after. End.",
+        "\n".join(f"{k}. {inner.strip()}" for k in range(1, 6)), "\n".join(f"{k}. {inner.strip()}" for k in (1, 3, 4, 7)), f"1. One\n{inner}\n\n2. Two\n{inner}\n3. Three",
+        f"A b.{' ' * 3_000}C d.{chr(10) * 3_000}- e f{'.' * 3_000} G h{'!?' * 1_500} I j.", f"A b.{' ' * 700}{chr(10)}{' ' * 700}- C d. E f.{' ' * 900}G.",
+    ]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    expected = {(i, a, b) for i, t in enumerate(docs) for a, b in S.split(t)}
+    for chunk in (64, 311, 1_000, 2_048):
+        got = [tuple(r) for r in S.sentences(df, chunk=chunk).collect()]
+        assert len(got) == len(set(got)) and set(got) == expected
+
+
+@given(st.text(alphabet="aB1 .\n!?“”\"()«»-2)、。กx", max_size=400), st.integers(5, 60))
+@settings(max_examples=300, deadline=None)
+def test_chunks_of_any_text_equal_the_whole(text, chunk):
+    """The chunk path in plain Python: functions of chunks composed, what lies ahead and behind handed on."""
+    import pandas as pd
+
+    pieces = pd.concat([*S._pieces(chunk, 48)(iter([pd.DataFrame({"doc_id": [1], "text": [text]})])), pd.DataFrame()])
+    rows, beyond, before = pieces.to_dict("records"), "", []
+    for r in reversed(rows):
+        r["beyond"], beyond = beyond, r["closing"] + ("" if r["blank"] else beyond)
+    for r in rows:
+        r["before"], before = before, r["numbers"] if r["blank"] else [*before, *r["numbers"]]
+    state, cuts = 0, []
+    for r in rows:
+        parts = next(S._chunk_parts(iter([pd.DataFrame([r])])))
+        cuts += [int(c) for c, mask in zip(parts.cut, parts.fires) if mask > 0 and mask >> state & 1]
+        state = parts.f[0][state]
+    assert list(S.spans(text, sorted(cuts))) == S.split(text)
+
+
 def test_nulls_repeats_clashes_and_empty(spark):
     df = spark.createDataFrame([(1, "A b. C d.", 5, "x"), (2, None, 5, "x"), (3, "", 5, "x"), (None, "E.", 5, "x"), (1, "A b. C d.", 5, "x")], "doc_id long, text string, start_pos int, chunk string")
-    got = sorted((r.doc_id or 0, r.start_pos, r.end_pos) for r in S.sentences(df.where("doc_id is not null")).collect())
-    assert got == [(1, 1, 4), (1, 1, 4), (1, 6, 9), (1, 6, 9)]
+    assert sorted((r.doc_id, r.start_pos, r.end_pos) for r in S.sentences(df).collect()) == [(1, 1, 4), (1, 6, 9)]
     assert S.sentences(df.limit(0)).count() == 0
 
 
