@@ -1,14 +1,16 @@
 """Variant spellings of names of organizations and model families, linked to the entity that they name.
 
-Each distinct text is rewritten to canonical forms by rules: legal forms and notes are dropped, words for the kind of body
-become one kind, the order of the parts is undone, nicknames and initials are led back to given names, words glued together are
-parted and parted ones glued. The forms of all texts are exploded and equi-joined by grouping: a form that is shared by few
-entities is rare and decides, a form that several entities share (an initial or a surname that fits two given names) is common
-and links nothing. Typos are met by deletion forms of the distinctive part of a name.
+Each distinct text is rewritten to all its canonical forms by rules: legal forms and notes are dropped, words for the kind of body
+and their abbreviations and initials become one kind, the parts stand in every order, glued or parted, a nickname stands for each
+given name it is short for, a given name is stated, cut to its initial or left out. The forms of all texts are exploded and
+equi-joined. A form is scored by its rarity, the log of all entities over those that can be rewritten to it: the rarest form of a
+text decides, and one that several entities share (an initial or a surname that fits two given names) links nothing. Typos are met
+by deletion forms of the distinctive part of a name.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -20,25 +22,33 @@ from recordloom.llm.edits import canonical_stems
 from recordloom.operators import packed
 from recordloom.session import cut
 
-# Nicknames by given name.
+# Nicknames by given name. Several of them are short for more than one.
 NICKNAMES = {
-    "alexander": ("alex", "al", "sasha", "xander"), "andrew": ("andy", "drew"), "anthony": ("tony",), "benjamin": ("ben",), "catherine": ("cathy", "cate"), "charles": ("charlie", "chuck"), "christopher": ("chris",), "daniel": ("dan", "danny"),
-    "david": ("dave",), "edward": ("ed", "eddie", "ted"), "elizabeth": ("liz", "beth", "lizzie", "eliza", "betty"), "frederick": ("fred", "freddy", "freddie", "rick"), "gregory": ("greg",), "james": ("jim", "jimmy", "jamie"), "jennifer": ("jen", "jenny"), "john": ("jack", "johnny"),
-    "jonathan": ("jon",), "joseph": ("joe",), "katherine": ("kate", "kathy", "katie", "kat", "kathrin"), "margaret": ("maggie", "peggy", "meg", "greta"), "matthew": ("matt",), "michael": ("mike", "mick", "mickey"), "nicholas": ("nick",), "patricia": ("pat", "patty"), "richard": ("rich", "dick"),
-    "robert": ("bob", "rob", "bobby", "robbie", "bert"), "samuel": ("sam",), "stephen": ("steve",), "susanne": ("sue", "susi", "susie", "sanne", "suzy", "susan"), "theodore": ("theo",), "thomas": ("tom", "tommy"), "timothy": ("tim",), "victoria": ("vicky", "tori"), "william": ("will", "bill", "billy"),
+    "albert": ("al", "bert", "bertie"), "alexander": ("alex", "al", "sasha", "xander", "sandy"), "alexandra": ("alex", "sandra", "sasha"), "andrew": ("andy", "drew"), "anthony": ("tony",), "barbara": ("barb", "babs"), "benjamin": ("ben", "benny"), "catherine": ("cathy", "cate", "kate", "kathy", "cat"),
+    "charles": ("charlie", "chuck"), "christine": ("chris", "chrissy", "tina"), "christopher": ("chris", "kit"), "daniel": ("dan", "danny"), "david": ("dave",), "deborah": ("deb", "debbie"), "dorothy": ("dot", "dolly"), "edward": ("ed", "eddie", "ted", "ned"), "elizabeth": ("liz", "beth", "lizzie", "eliza", "betty", "bess"),
+    "frederick": ("fred", "freddy", "freddie", "rick"), "george": ("georgie",), "gregory": ("greg",), "henry": ("harry", "hank", "hal"), "james": ("jim", "jimmy", "jamie"), "jennifer": ("jen", "jenny"), "john": ("jack", "johnny", "jon"), "jonathan": ("jon", "nathan"), "joseph": ("joe",), "katherine": ("kate", "kathy", "katie", "kat", "kathrin"),
+    "lawrence": ("larry",), "leonard": ("leo", "len"), "margaret": ("maggie", "peggy", "meg", "greta"), "matthew": ("matt",), "michael": ("mike", "mick", "mickey"), "nicholas": ("nick",), "patricia": ("pat", "patty", "trish"), "patrick": ("pat", "paddy"), "peter": ("pete",), "philip": ("phil",), "rebecca": ("becky",),
+    "richard": ("rich", "dick", "rick", "ricky"), "robert": ("bob", "rob", "bobby", "robbie", "bert"), "ronald": ("ron",), "samuel": ("sam",), "stephen": ("steve",), "susanne": ("sue", "susi", "susie", "sanne", "suzy", "susan"), "theodore": ("theo", "ted", "teddy"), "thomas": ("tom", "tommy"), "timothy": ("tim",),
+    "victoria": ("vicky", "tori"), "vincent": ("vince",), "walter": ("walt",), "william": ("will", "bill", "billy"),
 }
-_FULL = {nick: full for full, nicks in NICKNAMES.items() for nick in nicks} | {full: full for full in NICKNAMES}
+_SHORT_FOR: dict = {}
+for _full, _nicks in NICKNAMES.items():
+    for _nick in (_full, *_nicks):
+        _SHORT_FOR.setdefault(_nick, []).append(_full)
 
-# Legal forms, words for kinds of bodies, and words that say nothing about the name.
+# Legal forms, words for kinds of bodies and for what they do, and words that say nothing about the name.
 LEGAL = ("inc", "ltd", "limited", "gmbh", "llc", "corp", "corporation", "co", "company", "plc", "ag", "sa", "bv", "ev", "eV", "foundation")
 KINDS = {
-    "university": ("university", "univ", "uni", "u", "universität", "université", "universidad"),
-    "institute": ("institute", "inst", "imi", "machine", "mach", "intelligence", "intell"),
-    "labs": ("labs", "lab", "laboratories", "laboratory"),
-    "ai": ("ai", "artificial", "research", "res"),
     "trust": ("trust",),
+    "university": ("university", "universität", "université", "universidad"),
+    "labs": ("labs", "laboratory", "laboratories"),
+    "institute": ("institute", "institut", "instituto"),
 }
+SUBJECTS = ("artificial", "intelligence", "machine", "research")
 _KIND_OF = {w: k for k, words in KINDS.items() for w in words}
+_KNOWN = tuple(_KIND_OF) + SUBJECTS
+#: Initials of a kind of body with two subjects (IMI, LAI and so on).
+_INITIALS = {k[0] + a[0] + b[0]: k for k in KINDS for a in SUBJECTS for b in SUBJECTS if a != b}
 _SMALL = ("the", "of", "for", "at", "and", "in")
 OFFSHOOTS = {"open": "open", "coder": "coder", "code": "coder", "vision": "vision", "vl": "vision", "math": "math", "maths": "math"}
 _FAMILY_WORDS = ("the", "model", "models", "family", "series", "lm", "llm", "lms", "llms", "language", "suite")
@@ -73,34 +83,52 @@ def _words(text: str, keep: dict | tuple) -> list[str]:
     return out
 
 
-def organization_form(text: str) -> tuple[str, str, str]:
-    """(kind, given name or initial, distinctive part) of an organization's name; the distinctive part is "" if there is none."""
+def _body_word(w: str, token: str, alone: bool) -> str | None:
+    """The word for a kind or a subject that a token is, abbreviates or misspells; ai and the initials of a kind as they are."""
+    if w in ("ai",) or (w in _INITIALS and token.isupper()):
+        return w
+    if w == "u" and not alone:
+        return "university"
+    if len(w) >= 3 and (full := next((k for k in _KNOWN if k.startswith(w)), None)):
+        return full
+    return _near(w, _KNOWN)
+
+
+def _orders(parts: list[str]) -> list[str]:
+    """The parts glued in every order (of more than three: as they stand, reversed and sorted), as they stand first."""
+    every = itertools.permutations(parts) if len(parts) <= 3 else (parts, parts[::-1], sorted(parts))
+    return list(dict.fromkeys("".join(p) for p in every))
+
+
+def organization_form(text: str) -> tuple[str, list[str], list[str], list[tuple[str, str]]]:
+    """(kind, given names, distinctive parts in every order, further (initial, part)) of an organization's name.
+
+    given names: each that a given name or nickname in the text is short for, or the initial that stands for one, or none.
+    further: forms of a name of two parts neither of which is a known given name, with each of them as the initial.
+    """
     s = re.sub(r"\([^)]*\)", " ", text)
     s = re.sub(r"\b((?:[A-Za-z]\.){2,})", lambda m: m[1].replace(".", ""), s)  # A.I. -> AI
-    words = [w for w in _words(s, _KIND_OF | dict.fromkeys(LEGAL)) if w not in LEGAL and w not in _SMALL]
-    kinds, rest = [], []
+    words = [w for w in _words(s, _KIND_OF | dict.fromkeys((*LEGAL, "ai", "lab"))) if w not in LEGAL and w not in _SMALL]
+    caps = {t.lower() for t in _TOKEN.findall(s) if t.isupper()}
+    kinds, rest = set(), []
     for i, w in enumerate(words):
-        k = _near(w, _KIND_OF)
-        if k == "u" and not (len(words) > 1 and i in (0, len(words) - 1)):
-            k = None
-        (kinds if k else rest).append(k or w)
-    found = {_KIND_OF[k] for k in kinds} - ({"institute"} if "artificial" in kinds else set())
-    kind = "trust" if "trust" in found else "institute" if "institute" in found and not found & {"university", "labs"} else "university" if "university" in found else "labs" if "labs" in found else "ai" if "ai" in found else "labs"
-    if not rest:
-        return kind, "", ""
-    given = ""
-    if kind == "trust":
-        at = next((i for i, w in enumerate(rest) if w in _FULL or _near(w, NICKNAMES)), None)
-        if at is None:
-            at = next((i for i, w in enumerate(rest) if len(w) == 1), None)
-        if at is not None and len(rest) > 1:
+        k = _body_word(w, w.upper() if w in caps else w, len(words) == 1 or 0 < i < len(words) - 1)
+        kinds.add(k) if k else rest.append(w)
+    found = {_KIND_OF.get(k) or _INITIALS.get(k) for k in kinds}
+    # a body without a word for its kind is a company, as one that calls itself labs
+    kind = next((k for k in KINDS if k in found), "ai" if "ai" in kinds or {"artificial", "intelligence"} <= kinds or "research" in kinds else "labs")
+    givens: list[str] = []
+    if len(rest) > 1:
+        at = next((i for i, w in enumerate(rest) if w in _SHORT_FOR), next((i for i, w in enumerate(rest) if len(w) == 1), next((i for i, w in enumerate(rest) if _near(w, NICKNAMES)), None)))
+        if at is not None:
             w = rest.pop(at)
-            given = _FULL.get(w) or _near(w, NICKNAMES) or w
-    return kind, given, "".join(rest)
+            givens = _SHORT_FOR.get(w) or [_near(w, NICKNAMES) or w]
+    further = [(a[0], b) for a, b in (rest, rest[::-1])] if len(rest) == 2 and not givens else []
+    return kind, givens, _orders(rest), further
 
 
-def family_form(text: str) -> tuple[str, str, str]:
-    """(offshoots, "", distinctive part) of a model family's name."""
+def family_form(text: str) -> tuple[str, list[str], list[str], list[tuple[str, str]]]:
+    """(offshoots, [], distinctive parts in every order, []) of a model family's name."""
     words = _words(text, OFFSHOOTS | dict.fromkeys(_FAMILY_WORDS))
     off, rest = [], []
     for w in words:
@@ -109,21 +137,30 @@ def family_form(text: str) -> tuple[str, str, str]:
             off.append(OFFSHOOTS[k])
         elif _near(w, _FAMILY_WORDS) is None:
             rest.append(w)
-    return "+".join(sorted(set(off))), "", "".join(rest)
+    return "+".join(sorted(set(off))), [], _orders(rest), []
 
 
 _RULES = {"organization": organization_form, "model_family": family_form}
 
 
+_FORMS = "field_name string, name string, n double, kind string, givens array<string>, stems array<string>, further array<struct<initial: string, part: string>>"
+
+
 def rewritten(texts: DataFrame) -> DataFrame:
-    """(field_name, name, n, kind, given, stem) from (field_name, name, n)."""
+    """(field_name, name, n, kind, givens, stems, further) from (field_name, name, n); texts without a distinctive part are left out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = [_RULES[f](t) for f, t in zip(pdf.field_name, pdf.name)]
-            yield pdf.assign(kind=[g[0] for g in got], given=[g[1] for g in got], stem=[g[2] for g in got])
+            out = []
+            for f, t, n in zip(pdf.field_name, pdf.name, pdf.n):
+                kind, givens, stems, further = _RULES[f](t)
+                if stems and stems[0]:
+                    out.append((f, t, n, kind, givens, stems, [{"initial": i, "part": p} for i, p in further]))
+            yield pd.DataFrame(out, columns=["field_name", "name", "n", "kind", "givens", "stems", "further"])
 
-    return texts.select("field_name", "name", "n").mapInPandas(run, "field_name string, name string, n double, kind string, given string, stem string").where("stem != ''")
+    # few bytes but much Python: a fixed number of partitions, which adaptive execution does not merge into one
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return texts.select("field_name", "name", "n").repartition(parts).mapInPandas(run, _FORMS)
 
 
 def single_names(df: DataFrame, key: str) -> DataFrame:
@@ -146,23 +183,39 @@ def single_names(df: DataFrame, key: str) -> DataFrame:
 def entities(names: DataFrame) -> DataFrame:
     """(field_name, name, n, entity, rarity): the entity of each distinct text.
 
-    The forms that a name with a full given name stands for are its own, the one with an initial only and the one without a given
-    name. A form shared by one entity of its field alone links; one shared by several stays an entity of its own. rarity is the
-    log of all entities over those that share the form used. Texts without a distinctive part have no entity.
+    A text that states a given name, or whose parts are no given names, is of the entity that it spells out. One with a nickname of
+    several given names, an initial or no given name asks for the entities that can be rewritten to its forms: it is of the one
+    that its rarest form leads to, if that is one, and of an entity of its own otherwise. rarity is the log of all entities over
+    those that share the form used. Texts without a distinctive part have no entity.
     """
     parsed = cut(rewritten(names))  # read by each of the groupings below
-    canon = canonical_stems(parsed.groupBy("field_name", "kind", "stem").agg(F.sum("n").alias("n")), ["field_name", "kind"])
-    t = parsed.join(canon, ["field_name", "kind", "stem"]).withColumn("stem", F.col("canonical")).drop("canonical")
     base = ["field_name", "kind", "stem"]
-    full = F.length("given") > 1
-    given = t.where(full).groupBy(*base, "given").agg(F.sum("n").alias("n"))
-    forms = given.select(*base, "given", F.explode(F.array(F.col("given"), F.substring("given", 1, 1), F.lit(""))).alias("form"))
-    by_form = forms.groupBy(*base, "form").agg(F.min("given").alias("meant"), F.count("*").alias("shared"))
-    total = t.groupBy("field_name").agg(F.approx_count_distinct(F.struct("kind", "stem", "given")).alias("total"))
-    linked = t.join(by_form, (t.field_name == by_form.field_name) & (t.kind == by_form.kind) & (t.stem == by_form.stem) & (t.given == by_form.form), "left").select(t["*"], "meant", "shared").join(total, "field_name")
-    owner = F.when(F.col("shared") == 1, F.col("meant")).otherwise(F.col("given"))
+    # of the orders of the parts, the one that most records state; ties go to the smaller text
+    stated = parsed.groupBy("field_name", "kind", F.col("stems")[0].alias("stem")).agg(F.sum("n").alias("support"))
+    orders = parsed.where(F.size("stems") > 1).select("field_name", "name", "kind", F.explode("stems").alias("stem"))
+    best = orders.join(stated, base).groupBy("field_name", "name").agg(F.min(F.struct((-F.col("support")).alias("s"), "stem")).alias("best"))
+    ordered = parsed.join(best, ["field_name", "name"], "left").withColumn("stem", F.coalesce("best.stem", F.col("stems")[0])).drop("best")
+    canon = canonical_stems(ordered.groupBy(*base).agg(F.sum("n").alias("n")), ["field_name", "kind"])
+    t = cut(ordered.join(canon, base).withColumn("stem", F.col("canonical")).drop("canonical"))
+
+    own = F.when(F.size("givens") == 1, F.col("givens")[0]).otherwise(F.lit(""))  # of several given names none is stated
+    t = t.withColumn("given", own)
+    spelled = (F.length("given") > 1) | (F.size("further") > 0)
+    owner = F.concat_ws("|", "kind", "given", "stem")
+    owners = t.where(spelled).select(*base, "given", "further", owner.alias("entity")).dropDuplicates([*base, "given"])
+    known = owners.where("given != ''").select(*base, "entity", F.explode(F.array(F.col("given"), F.substring("given", 1, 1), F.lit(""))).alias("form"))
+    unknown = owners.where(F.size("further") > 0).select("field_name", "kind", F.explode("further").alias("f"), "entity").select("field_name", "kind", F.col("f.part").alias("stem"), "entity", F.col("f.initial").alias("form"))
+    forms = known.unionByName(unknown).distinct()
+    by_form = forms.groupBy(*base, "form").agg(F.count("*").alias("shared"), F.min("entity").alias("meant"))
+    asked = t.where(~spelled).select("field_name", "name", *base[1:], F.explode(F.when(F.size("givens") > 0, F.col("givens")).otherwise(F.array(F.lit("")))).alias("form"))
+    led = asked.join(by_form, [*base, "form"]).groupBy("field_name", "name").agg(F.min("shared").alias("shared"), F.collect_set(F.struct("shared", "meant")).alias("to"))
+    rarest = F.filter("to", lambda x: x["shared"] == F.col("shared"))
+    led = led.select("field_name", "name", "shared", F.when((F.col("shared") == 1) & (F.size(rarest) == 1), rarest[0]["meant"]).alias("meant"))
+    total = t.select("field_name", owner.alias("entity")).distinct().groupBy("field_name").agg(F.count("*").alias("total"))
+    linked = t.join(led, ["field_name", "name"], "left").join(F.broadcast(total), "field_name")  # one row a field
+    nick = F.when((F.size("givens") > 1), F.concat_ws("/", "givens")).otherwise(F.col("given"))
     rarity = F.log(F.col("total") / F.coalesce("shared", F.lit(1)))
-    return linked.select("field_name", "name", "n", F.concat_ws("|", "kind", owner, "stem").alias("entity"), F.round(rarity, 6).alias("rarity"))
+    return linked.select("field_name", "name", "n", F.coalesce("meant", F.concat_ws("|", "kind", nick, "stem")).alias("entity"), F.round(rarity, 6).alias("rarity"))
 
 
 def variant_pairs(linked: DataFrame) -> DataFrame:

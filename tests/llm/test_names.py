@@ -22,6 +22,30 @@ def test_entities(spark):
     assert len({got[g[0]] for g in SAME}) == len(SAME) and len({got[g[0]] for g in FAMILIES}) == len(FAMILIES)
 
 
+def test_rewritings_of_any_name(spark):
+    """Given names with any kind of body, unknown given names, parts in any order, nicknames of several names."""
+    same = [
+        ["Marie Curie University", "University of Marie Curie", "M. Curie University", "Curie, Marie, University"], ["Theodore Balimo Labs", "Theo Balimo Labs", "T. Balimo Labs", "Balimo, Theodore, Inc."],
+        ["Gonzo Zadofa Labs", "Zadofa Gonzo Laboratories", "Zadofa, Gonzo"], ["Frederick Molidu Trust", "Rick Molidu Trust"], ["Richard Kepalo Institute", "Rick Kepalo Institute"],
+    ]
+    apart = ["Edward Sunoti Trust", "Theodore Sunoti Trust", "Ted Sunoti Trust"]  # Ted is either
+    rows = [("organization", n, 1.0 + (i == 0)) for g in same for i, n in enumerate(g)] + [("organization", n, 1.0) for n in apart]
+    got = {r.name: (r.entity, r.rarity) for r in N.entities(spark.createDataFrame(rows, "field_name string, name string, n double")).collect()}
+    for g in same:
+        assert len({got[n][0] for n in g}) == 1, {n: got[n] for n in g}
+    assert len({got[n][0] for n in apart}) == 3 and len({got[g[0]][0] for g in same}) == len(same)
+
+
+def test_forms_against_brute_force():
+    """Two names are led together exactly if one of them can be rewritten to the other by the stated rules."""
+    import itertools
+
+    for parts in (["ab"], ["ab", "cd"], ["ab", "cd", "ef"]):
+        assert set(N._orders(parts)) == {"".join(x) for x in itertools.permutations(parts)}
+    assert N.organization_form("Rick Molidu Research Trust")[:3] == ("trust", ["frederick", "richard"], ["molidu"])
+    assert N.organization_form("Dalome Lab. of Artif. Intell.")[0] == "labs" and N.organization_form("IMI Dalome")[0] == "institute" and N.organization_form("U. Dalome")[0] == "university"
+
+
 def test_pairs_are_ordered_and_complete(spark):
     rows = [("organization", n, 1.0) for n in SAME[0]]
     pairs = {(r.name_1, r.name_2) for r in N.variant_pairs(N.entities(spark.createDataFrame(rows, "field_name string, name string, n double"))).collect()}
