@@ -30,6 +30,8 @@ from recordloom.session import cut
 VALUE_SHARE, WORD_SHARE, BIGRAM_SHARE = 1 / 100_000, 1 / 5_000, 1 / 100_000
 ROUNDS = 2
 
+# The lattice has no edge for a value that would hold more delimiters than score this much together (ten commas, twenty "and").
+MOST_JOINED = 30.0
 # Log scores of separating and of joining at a delimiter, by kind.
 DELIMITERS = {"hard": (0.0, -14.0), ",": (-0.1, -3.0), "and": (-0.5, -1.5), "&": (-0.5, -1.5), "+": (-0.2, -2.5), " / ": (-0.2, -2.5), "/": (-1.5, -0.5)}
 _QUOTED = r'"(?:[^"]|"")*"|“[^”]*”|«[^»]*»|„[^“”]*[“”]'
@@ -177,7 +179,7 @@ def segment(text: str, model: Model) -> list[str]:
                 if kinds[i] == "hard":
                     break
                 joined += DELIMITERS[kinds[i]][1]
-                if joined < -30:  # no name holds that many delimiters
+                if joined < -MOST_JOINED:
                     break
             score = best[i] + joined + model.score(_clean(s[spans[i][0] : spans[j - 1][1]])) + (DELIMITERS[kinds[i - 1]][0] if i else 0.0)
             if score > best[j]:
@@ -208,7 +210,7 @@ def _first_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for x in sure:
                 c[f, "v", x, ""] += n
                 c[f, "n", "", ""] += n
-            for w in {w for x in sure for w in _WORD.findall(x)} if len(sure) < 1000 else ():
+            for w in {w for x in sure for w in _WORD.findall(x)}:
                 c[f, "w", w, ""] += n
         yield _tally(c)
 
