@@ -121,14 +121,14 @@ def _clean(item: str) -> str:
     return _unquote(re.sub(r"^\s*(?:\(\d{1,2}\)|[-*•‣▪]|\d{1,2}[.)])\s+", "", item))
 
 
-def _certain(text: str) -> tuple[list[str] | None, str]:
-    """The values of a text that only unmistakable delimiters cut, else None; and the text itself."""
+def _certain(text: str) -> tuple[list[str] | None, tuple]:
+    """The values of a text that only unmistakable delimiters cut, else None and its atoms."""
     if (got := _literal(text.strip())) is not None:
-        return [x for x in map(_clean, got) if x], text
+        return [x for x in map(_clean, got) if x], ()
     spans, kinds, s = atoms(text)
     if all(k == "hard" for k in kinds):
-        return [x for x in (_clean(s[a:b]) for a, b in spans) if x], text
-    return None, text
+        return [x for x in (_clean(s[a:b]) for a, b in spans) if x], ()
+    return None, (spans, kinds, s)
 
 
 class Model:
@@ -144,6 +144,11 @@ class Model:
             self.out[a] += c
             self.into[b] += c
         self.total = sum(self.into.values()) + 1.0
+        self.steps: dict = {}  # log scores of bigrams and of values met before
+        self.scores: dict = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"steps": {}, "scores": {}}
 
     def shape(self, w: str) -> str:
         return w if w in self.words else "<9>" if w[0].isdigit() else "<A>" if w[0].isupper() else "<a>" if w.isalpha() else w if len(w) == 1 else "<x>"
@@ -155,21 +160,30 @@ class Model:
             after = w in _INNER
         return [*out, "</s>"]
 
+    def step(self, a: str, b: str) -> float:
+        got = self.steps.get((a, b))
+        if got is None:
+            got = self.steps[a, b] = math.log((self.bigrams.get((a, b), 0.0) + 2e-3 * (self.into.get(b, 0.0) + 0.01) / self.total) / (self.out.get(a, 0.0) + 2e-3))
+        return got
+
     def score(self, item: str) -> float:
-        known = self.values.get(item, -60.0)
-        s, c = 0.0, self.chain(item)
-        for a, b in zip(c, c[1:]):
-            s += math.log((self.bigrams.get((a, b), 0.0) + 2e-3 * (self.into.get(b, 0.0) + 0.01) / self.total) / (self.out.get(a, 0.0) + 2e-3))
-        s -= 0.7
-        return max(known, s) + math.log1p(math.exp(-abs(known - s)))
+        got = self.scores.get(item)
+        if got is None:
+            known, c = self.values.get(item, -60.0), self.chain(item)
+            s = sum(map(self.step, c, c[1:])) - 0.7
+            if len(self.scores) > 200_000:
+                self.scores.clear()
+                self.steps.clear()
+            got = self.scores[item] = max(known, s) + math.log1p(math.exp(-abs(known - s)))
+        return got
 
 
 def segment(text: str, model: Model) -> list[str]:
     """The most likely values of a text, in order; empty pieces are skipped."""
-    sure, _ = _certain(text)
+    sure, rest = _certain(text)
     if sure is not None:
         return sure
-    spans, kinds, s = atoms(text)
+    spans, kinds, s = rest
     n = len(spans)
     best, back = [0.0] + [-math.inf] * n, [0] * (n + 1)
     for j in range(1, n + 1):
@@ -198,11 +212,15 @@ def _tally(counts: Counter) -> pd.DataFrame:
     return pd.DataFrame([(f, k, a, b, float(n)) for (f, k, a, b), n in counts.items()], columns=["field_name", "kind", "a", "b", "n"])
 
 
+def _flag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        yield pdf.assign(sure=[_certain(text)[0] for text in pdf.text])
+
+
 def _first_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         c: Counter = Counter()
-        for f, text, n in zip(pdf.field_name, pdf.text, pdf.n):
-            sure, _ = _certain(text)
+        for f, text, n, sure in zip(pdf.field_name, pdf.text, pdf.n, pdf.sure):
             if sure is None:  # the whole text may be one value: it counts, but less
                 c[f, "v", text.strip(), ""] += 0.5 * n
                 c[f, "n", "", ""] += n
@@ -215,18 +233,18 @@ def _first_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield _tally(c)
 
 
-def _path_counts(models, certain_only: bool):
+def _path_counts(models):
+    """Values, words next to each other and the number of values on the best paths; sure texts have one path only."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         by_field = models.value
         for pdf in batches:
             c: Counter = Counter()
-            for f, text, n in zip(pdf.field_name, pdf.text, pdf.n):
+            for f, text, n, sure in zip(pdf.field_name, pdf.text, pdf.n, pdf.sure):
                 m = by_field[f]
-                got = _certain(text)[0] if certain_only else segment(text, m)
-                for x in got or ():
+                for x in segment(text, m) if sure is None else sure:
                     c[f, "n", "", ""] += n
-                    if not certain_only:
-                        c[f, "v", x, ""] += n
+                    c[f, "v", x, ""] += n
                     chain = m.chain(x)
                     for a, b in zip(chain, chain[1:]):
                         c[f, "b", a, b] += n
@@ -264,12 +282,16 @@ def column_texts(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
 def learn(texts: DataFrame, rounds: int = ROUNDS) -> dict[str, Model]:
     """Models by field from (field_name, text, n). An empty input gives no model."""
     sc = texts.sparkSession.sparkContext
-    texts = cut(texts)
-    first = _collect(texts.mapInPandas(_first_counts, _STATS))
+    # few bytes but much Python: a fixed number of partitions, which adaptive execution does not merge
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    flagged = cut(texts.select("field_name", "text", "n").repartition(parts).mapInPandas(_flag, "field_name string, text string, n double, sure array<string>"))
+    first = _collect(flagged.mapInPandas(_first_counts, _STATS))
     models = {f: Model(sum(x.get("n", {}).values()), x.get("v", {}), set(x.get("w", {})), {}) for f, x in first.items()}
+    # the paths of sure texts are the same in every round: they are counted once
+    sure = cut(flagged.where(F.col("sure").isNotNull()).mapInPandas(_path_counts(sc.broadcast(models)), _STATS).groupBy("field_name", "kind", "a", "b").agg(F.sum("n").alias("n")))
+    unsure = flagged.where(F.col("sure").isNull())
     for step in range(rounds + 1):
-        at = sc.broadcast(models)
-        got = _collect(texts.mapInPandas(_path_counts(at, certain_only=step == 0), _STATS))
+        got = _collect(sure if step == 0 else sure.unionByName(unsure.mapInPandas(_path_counts(sc.broadcast(models)), _STATS)))
         for f, m in models.items():
             x = got.get(f, {})
             values = x.get("v") if step else first[f].get("v", {})
