@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from recordloom.functions import names as N
 from recordloom.missing import is_missing_m3, trim_all
+from recordloom.session import cut
 
 # Fields that are evaluated, and groups of them.
 FIELDS = ["model_name", "model_family", "date_created", "organization", "innovation", "pretraining_architecture", "pretraining_task", "pretraining_corpus", "finetuning_task", "optimizer", "parameters", "parameters_millions", "hardware_used", "extension", "blog_post", "license", "research_problem", "application"]
@@ -71,6 +72,30 @@ def strict_match() -> Column:
     )
 
 
+def strict_similarity() -> Column:
+    """The similarity that goes with strict_match; NULL where that of the texts counts (see ratio)."""
+    g, p, f = norm4(F.col("gold")), norm4(F.col("pred")), F.col("field")
+    none, one = (g == "") & (p == ""), (g == "") | (p == "")
+    said = F.when(none, 1.0).when(one, 0.0)
+    (gy, gm), (py, pm) = _year_month(F.col("gold")), _year_month(F.col("pred"))
+    date = F.when(gy.isNull() & py.isNull(), 1.0).when(gy.isNull() | py.isNull() | (gy != py), 0.0).when(gm.isNotNull() & pm.isNotNull(), F.when(gm == pm, 1.0).otherwise(0.5)).otherwise(0.9)
+    org = said.when(g == p, 1.0).when(strict_match(), 0.95)
+    gn, pn = N.soft(F.coalesce(F.col("gold"), F.lit(""))), N.soft(F.coalesce(F.col("pred"), F.lit("")))
+    identifier = F.when((gn == "") & (pn == ""), 1.0).when((gn == "") | (pn == ""), 0.0).when(gn == pn, 1.0).when(gn.contains(pn) | pn.contains(gn), 0.95)
+    sizes = lambda c: F.array_distinct(F.filter(F.transform(F.split(F.coalesce(F.col(c), F.lit("")), ","), lambda x: F.upper(trim_all(x))), lambda x: x != ""))
+    both = F.size(F.array_intersect(sizes("gold"), sizes("pred"))).cast("double")
+    n_g, n_p = F.size(sizes("gold")), F.size(sizes("pred"))
+    rate = F.try_divide(both, n_p), F.try_divide(both, n_g)
+    f1 = F.coalesce(F.try_divide(2 * rate[0] * rate[1], rate[0] + rate[1]), F.lit(0.0))
+    blank = [F.coalesce(F.col(c), F.lit("")) == "" for c in ("gold", "pred")]
+    parameters = F.when(blank[0] & blank[1], 1.0).when(blank[0] | blank[1], 0.0).when((n_g == 0) & (n_p == 0), 1.0).when((n_g == 0) | (n_p == 0), 0.0).otherwise(f1)
+    generic = F.when(g == p, 1.0).when(f.isin(*FUZZY) & (g != "") & (p != ""), F.lit(None)).otherwise(0.0)
+    return (
+        F.when(f == "parameters", parameters).when(f.isin("parameters_millions", "optimizer"), F.when(strict_match(), 1.0).otherwise(0.0)).when(f == "date_created", date)
+        .when(f == "organization", org).when(f.isin("model_name", "model_family"), identifier).otherwise(generic)
+    )
+
+
 def finetune_match() -> Column:
     """The lenient match: equal, one within the other, sizes within a tenth, or half of the reference's words."""
     g, p, f = (F.lower(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))) if i < 2 else c for i, c in enumerate((F.col("gold"), F.col("pred"), F.col("field"))))
@@ -116,18 +141,50 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x or "", y or "") for x, y in zip(a, b)])
 
 
-def decide(results: DataFrame, match: Column, threshold: float | Column = 0.8) -> DataFrame:
-    """Adds match and similarity; only rows that the rules leave open reach Python."""
-    r = results.withColumn("match", match)
-    settled = r.where(F.col("match").isNotNull()).withColumn("similarity", F.lit(None).cast("double"))
+def decide(results: DataFrame, match: Column, threshold: float | Column = 0.8, similarity: Column | None = None) -> DataFrame:
+    """Adds match and similarity; only rows that the rules leave open reach Python.
+
+    similarity: what the rules say of it, NULL where that of the texts counts; without it only undecided matches get one.
+    """
+    # written once: the rules are long, and both sides below ask for them
+    r = cut(results.withColumns({"match": match, "similarity": F.lit(None).cast("double") if similarity is None else similarity}))
+    settled = r.where(F.col("match").isNotNull()) if similarity is None else r.where(F.col("similarity").isNotNull())
+    open_ = r.where(F.col("match").isNull()) if similarity is None else r.where(F.col("similarity").isNull())
     soft = F.col("field").isin("model_name", "model_family")
     text = lambda c: F.when(soft, N.soft(F.col(c))).otherwise(norm4(F.col(c)))
-    open_ = r.where(F.col("match").isNull()).withColumn("similarity", ratio(text("gold"), text("pred")))
-    return settled.unionByName(open_.withColumn("match", F.col("similarity") >= threshold))
+    open_ = open_.withColumn("similarity", ratio(text("gold"), text("pred")))
+    return settled.unionByName(open_.withColumn("match", F.coalesce("match", F.col("similarity") >= threshold)))
+
+
+#: Fields whose match the score of their texts decides, and fields whose texts are scored for the report.
+SCORED = ["innovation", "license", "pretraining_task", "research_problem", "pretraining_architecture"]
+REPORTED = ["innovation", "pretraining_corpus", "application", "research_problem", "extension"]
+
+
+def scored(results: DataFrame, scorer=None, threshold: float = 0.8) -> DataFrame:
+    """Adds score to the SCORED and REPORTED fields where both texts are there, and lets it decide match and similarity of the former.
+
+    Texts are scored once each, however many pairs hold them.
+    """
+    there = lambda c: F.coalesce(trim_all(F.col(c)), F.lit("")) != ""
+    asked = F.col("field").isin(*SCORED, *REPORTED) & there("gold") & there("pred")
+    texts = results.where(asked).select("gold", "pred").distinct()
+    s = score_texts(texts, scorer).select(F.col("gold").alias("_g"), F.col("pred").alias("_p"), "score")
+    r = results.withColumn("_asked", asked)
+    with_score = r.join(s, F.col("_asked") & (F.col("gold") == F.col("_g")) & (F.col("pred") == F.col("_p")), "left").drop("_g", "_p", "_asked")
+    decides = F.col("field").isin(*SCORED) & F.col("score").isNotNull()
+    return with_score.withColumns({"match": F.when(decides, F.col("score") >= threshold).otherwise(F.col("match")), "similarity": F.when(decides, F.col("score")).otherwise(F.col("similarity"))})
+
+
+def text_aggregate(results: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, text_score): the mean over the REPORTED fields of each field's mean score; keys without a score are left out."""
+    per = results.where(F.col("field").isin(*REPORTED) & F.col("score").isNotNull()).groupBy(*keys, "field").agg(F.avg("score").alias("mean"))
+    return per.groupBy(*keys).agg(F.avg("mean").alias("text_score"))
 
 
 def counts(results: DataFrame, keys: list[str], both_wrong: bool = False) -> DataFrame:
-    """tp, fp, fn, tn over rows with gold, pred and match; with both_wrong a mismatch also counts as a miss."""
+    """tp, fp, fn, tn over rows with gold, pred and match; with both_wrong a mismatch also counts as a miss. Of two texts whose match
+    is NULL nothing is counted."""
     g, p, m = ~is_missing_m3(F.col("gold")), ~is_missing_m3(F.col("pred")), F.col("match")
     fn = (g & ~p) | (g & p & ~m) if both_wrong else g & ~p
     return results.groupBy(*keys).agg(F.count_if(g & p & m).alias("tp"), F.count_if((g & p & ~m) | (~g & p)).alias("fp"), F.count_if(fn).alias("fn"), F.count_if(~g & ~p).alias("tn"))
@@ -188,8 +245,38 @@ def pair_edges(golds: DataFrame, preds: DataFrame, profile: str = "strict") -> D
     return few.select("paper_id", "pred_name", "pred_id", "p_ord").join(kind_edges, ["paper_id", "pred_name"]).drop("pred_name")
 
 
-def pair_greedily(edges: DataFrame) -> DataFrame:
-    """(paper_id, pred_id, gold_id, tier): predictions in order take their best reference record that is still free."""
+#: Candidate edges of one paper that are walked in one task; papers with more are first settled in parallel rounds.
+WALKED = 10_000
+
+
+def _settled(edges: DataFrame) -> DataFrame:
+    """Pairs that no walk could change: the prediction's best candidate, for which it is the first of all that have it."""
+    best = edges.groupBy("paper_id", "pred_id").agg(F.min(F.struct("tier", "g_ord", "gold_name", "gold_id", "p_ord")).alias("b"))
+    first = edges.groupBy("paper_id", "gold_name").agg(F.min(F.struct("p_ord", "pred_id")).alias("f"))
+    return best.select("paper_id", "pred_id", "b.gold_name", "b.gold_id", "b.tier").join(first, ["paper_id", "gold_name"]).where("pred_id = f.pred_id").drop("f")
+
+
+def pair_greedily(edges: DataFrame, walked: int | None = None) -> DataFrame:
+    """(paper_id, pred_id, gold_id, tier): predictions in order take their best reference record that is still free.
+
+    The walk in order is sequential, so it is kept for papers with few open edges. Of the others, rounds of two groupings settle
+    every prediction that is the first to want its best candidate, and take both away; keys are predictions and names, so a paper
+    with a tenth of the rows is spread over all tasks. The result is that of the walk, whatever the number of rounds.
+    """
+    walked = WALKED if walked is None else walked
+    edges, done = cut(edges), None
+    while True:
+        most = edges.groupBy("paper_id").count().agg(F.max("count")).head()[0] or 0
+        if most <= walked:
+            break
+        pairs = cut(_settled(edges))
+        done = pairs if done is None else done.unionByName(pairs)
+        edges = cut(edges.join(pairs.select("paper_id", "pred_id"), ["paper_id", "pred_id"], "left_anti").join(pairs.select("paper_id", "gold_name"), ["paper_id", "gold_name"], "left_anti"))
+    rest = _walk(edges)
+    return rest if done is None else rest.unionByName(done.select("paper_id", "pred_id", "gold_id", "tier"))
+
+
+def _walk(edges: DataFrame) -> DataFrame:
     e = F.struct("p_ord", "tier", "g_ord", "pred_id", "gold_id", "gold_name")
     kind = {n: t for n, t in edges.dtypes}
     zero = F.struct(

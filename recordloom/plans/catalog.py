@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 import importlib.util
 
-_PARTS = ["documents", "records", "evaluation"]
+_PARTS = ["documents", "records", "metrics", "evaluation"]
 
 
 def _parts() -> list:

@@ -1,4 +1,4 @@
-"""Queries on evaluation, mapping, joins and datasets: survey groups C, JN, A12 to A26, G and P."""
+"""Queries on joins, mapping and datasets: survey groups JN, G and P; the metrics are in their own module."""
 
 from __future__ import annotations
 
@@ -13,96 +13,11 @@ from recordloom.plans import sqlx as S
 from recordloom.plans.documents import files, papers, props
 from recordloom.plans.records import gold, recs
 from recordloom.plans.registry import Registry
-from recordloom.session import cut, load
+from recordloom.session import load
 
 query = Registry()
 
-# field comparison ---------------------------------------------------------------------------------------------------------
-
-
-def pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Reference records with the extracted records of the same paper, as structs g and p."""
-    g = gold(spark, sf).select("paper_id", "gold_id", F.struct(*E.FIELDS).alias("g"))
-    p = props(spark, sf).select("paper_id", "prop_id", "extractor", F.struct(*E.FIELDS).alias("p"))
-    return g.join(p, "paper_id")
-
-
-def results(spark: SparkSession, sf: str, fields: list[str] = E.FIELDS) -> DataFrame:
-    return E.long_pairs(pairs(spark, sf), ["gold_id", "prop_id", "extractor"], fields)
-
-
-def _long(fields: list[str]) -> str:
-    g = ", ".join(f"{{'field': '{f}', 'gold': CAST(g.{f} AS VARCHAR), 'pred': CAST(p.{f} AS VARCHAR)}}" for f in fields)
-    return f"""{S.PROPS}, long AS (SELECT gold_id, prop_id, extractor, x.field AS field, x.gold AS gold, x.pred AS pred FROM (SELECT g.gold_id, p.prop_id, p.extractor, unnest([{g}]) AS x FROM gold_models g JOIN props p USING (paper_id)))"""
-
-
-_G, _P = (f"lower({S.strip(f'''coalesce({c}, '')''')})" for c in ("gold", "pred"))
-_YM = r"^\d{4}-\d{2}(-\d{2})?$"
-
-
-def _y(c: str) -> str:
-    return rf"CASE WHEN regexp_matches(trim({c}), '^\d{{4}}(-\d{{2}}){{0,2}}$') THEN CAST(substr(trim({c}), 1, 4) AS INT) END"
-
-
-def _mo(c: str) -> str:
-    return f"CASE WHEN regexp_matches(trim({c}), '{_YM}') THEN CAST(substr(trim({c}), 6, 2) AS INT) END"
-
-
-_WORDS = lambda c: f"list_filter(string_split_regex({c}, '(?:{S.WS}|,)+'), lambda w: w <> '')"
-_SZS = lambda c: f"list_distinct(list_filter(list_transform(string_split(coalesce({c}, ''), ','), lambda x: upper({S.strip('x')})), lambda x: x <> ''))"
-_ORG = " OR ".join(f"({_G} IN ('{a}', '{b}') AND {_P} IN ('{a}', '{b}'))" for a, b in E.ORGANISATION_PAIRS)
-_INT = lambda c: f"CAST(trunc(try_cast(trim({c}) AS DOUBLE)) AS BIGINT)"
-_STRICT = f"""CASE field WHEN 'parameters' THEN CASE WHEN coalesce(gold, '') = '' AND coalesce(pred, '') = '' THEN true WHEN coalesce(gold, '') = '' OR coalesce(pred, '') = '' THEN false WHEN len({_SZS('gold')}) = 0 AND len({_SZS('pred')}) = 0 THEN true
-    WHEN len({_SZS('gold')}) = 0 OR len({_SZS('pred')}) = 0 THEN false ELSE len(list_intersect({_SZS('gold')}, {_SZS('pred')})) = len({_SZS('gold')}) END
-  WHEN 'parameters_millions' THEN CASE WHEN {_INT('gold')} IS NULL AND {_INT('pred')} IS NULL THEN true ELSE coalesce({_INT('gold')} = {_INT('pred')}, false) END
-  WHEN 'date_created' THEN CASE WHEN {_y('gold')} IS NULL AND {_y('pred')} IS NULL THEN true WHEN coalesce({_y('gold')} <> {_y('pred')}, true) THEN false WHEN {_mo('gold')} IS NOT NULL AND {_mo('pred')} IS NOT NULL THEN {_mo('gold')} = {_mo('pred')} ELSE true END
-  WHEN 'organization' THEN CASE WHEN {_G} = '' AND {_P} = '' THEN true WHEN {_G} = '' OR {_P} = '' THEN false ELSE contains({_G}, {_P}) OR contains({_P}, {_G}) OR {_ORG} END
-  WHEN 'optimizer' THEN CASE WHEN {_G} = '' AND {_P} = '' THEN true WHEN {_G} = '' OR {_P} = '' THEN false WHEN len({_WORDS(_G)}) = 0 AND len({_WORDS(_P)}) = 0 THEN true ELSE list_has_any({_WORDS(_G)}, {_WORDS(_P)}) END
-  ELSE {_G} = {_P} END"""
-
-
-@query(f"WITH {_long(E.EXACT)} SELECT gold_id, prop_id, field, {_STRICT} AS match FROM long")
-def c7_strict_match(spark, sf):
-    """Strict comparison of the fields that need no similarity of texts."""
-    return results(spark, sf, E.EXACT).select("gold_id", "prop_id", "field", E.strict_match().alias("match"))
-
-
-@query()
-def c8_similar_texts(spark, sf):
-    """Names and long texts, settled by equality or containment where they can be, else by similarity."""
-    r = results(spark, sf, ["model_name", "model_family", *E.FUZZY])
-    return E.decide(r, E.strict_match()).select("gold_id", "prop_id", "field", "match", F.round("similarity", 6).alias("similarity"))
-
-
-_FG, _FP = (f"lower(trim(regexp_replace(coalesce({c}, ''), '{S.WS}+', ' ', 'g')))" for c in ("gold", "pred"))
-_FD = lambda c: f"try_cast({c} AS DOUBLE)"
-_FINE = f"""CASE WHEN {_FG} = '' AND {_FP} = '' THEN true WHEN {_FG} = '' OR {_FP} = '' THEN false WHEN contains({_FG}, {_FP}) OR contains({_FP}, {_FG}) THEN true
-  WHEN field = 'parameters_millions' THEN coalesce(abs({_FD(_FG)} - {_FD(_FP)}) / greatest({_FD(_FG)}, 1.0) < 0.1, false)
-  WHEN field IN ({", ".join(f"'{f}'" for f in E.OVERLAP)}) THEN len(list_intersect(list_distinct(string_split({_FG}, ' ')), list_distinct(string_split({_FP}, ' ')))) / len(list_distinct(string_split({_FG}, ' '))) >= 0.5 ELSE false END"""
-
-
-@query(f"WITH {_long(E.FIELDS)} SELECT gold_id, prop_id, field, {_FINE} AS match FROM long")
-def c14_finetune_match(spark, sf):
-    return results(spark, sf).select("gold_id", "prop_id", "field", E.finetune_match().alias("match"))
-
-
-_R = lambda c: f"CASE WHEN {c} IS NULL OR lower({S.strip(c)}) IN ('null', 'none', 'n/a') THEN '' ELSE lower({S.strip(c)}) END"
-_BARE = lambda c: rf"""{S.strip(rf"regexp_replace(regexp_replace(lower({S.strip(c)}), '\s*\(\s*\d+(?:\.\d+)?\s*[kmb]\s*\)\s*$', ''), '\s+\d+(?:\.\d+)?\s*[kmb]\s*$', '')")}"""
-_MV = lambda c: f"CASE WHEN {_mo(c)} BETWEEN 1 AND 12 THEN {_mo(c)} END"
-_RELAXED_FIELDS = ["model_name", "model_family", "date_created", "organization", "parameters", "parameters_millions", "hardware_used", "extension", "blog_post", "license"]
-
-
-@query(f"""WITH {_long(_RELAXED_FIELDS)}, n AS (SELECT *, {_R('gold')} AS g, {_R('pred')} AS p FROM long)
-SELECT gold_id, prop_id, field, coalesce(CASE WHEN g = '' OR p = '' THEN NULL WHEN field = 'date_created' AND {_y('gold')} = {_y('pred')} THEN {_MV('gold')} IS NULL OR {_MV('pred')} IS NULL OR {_MV('gold')} = {_MV('pred')}
-  WHEN field = 'model_name' AND {_BARE('gold')} <> '' AND {_BARE('pred')} <> '' AND (contains({_BARE('gold')}, {_BARE('pred')}) OR contains({_BARE('pred')}, {_BARE('gold')})) THEN true END, g = p) AS match FROM n""")
-def c13_relaxed_match(spark, sf):
-    return results(spark, sf, _RELAXED_FIELDS).select("gold_id", "prop_id", "field", E.relaxed_match().alias("match"))
-
-
-@query()
-def c13_relaxed_all(spark, sf):
-    """The relaxed match of all 18 fields, by similarity where the rules leave it open (C13); c13_relaxed_match is the part that SQL states."""
-    return E.decide(results(spark, sf), E.relaxed_match(), E.relaxed_threshold()).select("gold_id", "prop_id", "field", "match", F.round("similarity", 6).alias("similarity"))
+# similarity of vectors and validity of answers ----------------------------------------------------------------------------
 
 
 @query("""WITH a AS (SELECT vec_id, embedding, label FROM embeddings), c AS (SELECT label, arg_min(embedding, vec_id) AS head FROM a GROUP BY 1)
@@ -114,61 +29,6 @@ def c9_semantic(spark, sf):
     return e.join(head, "label").select("vec_id", F.round(E.cosine(F.col("embedding"), F.col("head")), 5).alias("similarity"))
 
 
-@query()
-def c12_text_scores(spark, sf):
-    """Scores of long texts by a pluggable scorer, and their means by field (C10, C12); they override no match."""
-    r = results(spark, sf, ["innovation", "license", "pretraining_task", "research_problem", "pretraining_architecture"])
-    both = r.where((F.coalesce("gold", F.lit("")) != "") & (F.coalesce("pred", F.lit("")) != ""))
-    s = E.score_texts(both.select("field", "gold", "pred").distinct())
-    scored = both.join(s, ["field", "gold", "pred"])
-    return scored.groupBy("field").agg(F.count("*").alias("n_pairs"), F.round(F.avg("score"), 4).alias("mean_score"), F.count_if(F.col("score") >= 0.8).alias("n_match"))
-
-
-# metrics ------------------------------------------------------------------------------------------------------------------
-
-_GE, _PE = f"NOT {S.missing3('gold')}", f"NOT {S.missing3('pred')}"
-
-
-def _counts(both_wrong: bool) -> str:
-    fn = f"({_GE}) AND NOT ({_PE})" + (f" OR (({_GE}) AND ({_PE}) AND NOT match)" if both_wrong else "")
-    return f"count(*) FILTER (WHERE ({_GE}) AND ({_PE}) AND match) AS tp, count(*) FILTER (WHERE (({_GE}) AND ({_PE}) AND NOT match) OR (NOT ({_GE}) AND ({_PE}))) AS fp, count(*) FILTER (WHERE {fn}) AS fn, count(*) FILTER (WHERE NOT ({_GE}) AND NOT ({_PE})) AS tn"
-
-
-_RATES = """round(coalesce((tp + tn) / nullif(tp + tn + fp + fn, 0), 0), 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
-  round(coalesce(2 * coalesce(tp / nullif(tp + fp, 0), 0) * coalesce(tp / nullif(tp + fn, 0), 0) / nullif(coalesce(tp / nullif(tp + fp, 0), 0) + coalesce(tp / nullif(tp + fn, 0), 0), 0), 0), 6) AS f1"""
-_STRICT_LONG = f"{_long(E.EXACT)}, res AS (SELECT *, {_STRICT} AS match FROM long)"
-_FINE_LONG = f"{_long(E.FIELDS)}, res AS (SELECT *, {_FINE} AS match FROM long)"
-
-
-def _strict(spark, sf):
-    return results(spark, sf, E.EXACT).withColumn("match", E.strict_match())
-
-
-def _fine(spark, sf):
-    return results(spark, sf).withColumn("match", E.finetune_match())
-
-
-@query(f"""WITH {_STRICT_LONG}, c AS (SELECT coalesce(field, 'overall') AS field, {_counts(False)} FROM res WHERE field IN ({", ".join(f"'{f}'" for f in E.STRUCTURED)}) GROUP BY GROUPING SETS ((field), ())) SELECT *, {_RATES} FROM c""")
-def a13_field_metrics(spark, sf):
-    """Counts and rates of each field and of all structured ones together."""
-    r = _strict(spark, sf).where(F.col("field").isin(*E.STRUCTURED)).select("field", "gold", "pred", "match")
-    twice = r.select(F.explode(F.array(F.col("field"), F.lit("overall"))).alias("field"), "gold", "pred", "match")
-    return E.scores(E.counts(twice, ["field"]))
-
-
-@query(f"WITH {_STRICT_LONG}, c AS (SELECT extractor, count(DISTINCT gold_id) AS n_gold, {_counts(False)} FROM res GROUP BY 1) SELECT *, {_RATES} FROM c")
-def a14_extractor_metrics(spark, sf):
-    """Micro-averaged counts and rates of each extractor over all fields and papers."""
-    r = _strict(spark, sf)
-    n = pairs(spark, sf).select("extractor", "gold_id").distinct().groupBy("extractor").agg(F.count("*").alias("n_gold"))
-    return E.scores(E.counts(r, ["extractor"]).join(n, "extractor"))
-
-
-@query(f"WITH {_FINE_LONG}, c AS (SELECT field, {_counts(True)} FROM res GROUP BY 1) SELECT *, {_RATES} FROM c")
-def a15_finetune_metrics(spark, sf):
-    return E.scores(E.counts(_fine(spark, sf), ["field"], both_wrong=True))
-
-
 @query("""SELECT count(*) AS n_files, count(*) FILTER (WHERE n > 0) AS n_valid, round(avg(CAST(n > 0 AS INT)), 6) AS rate FROM (SELECT DISTINCT ON (file_id) file_id, coalesce(json_array_length(payload::JSON->'extraction_data'), 0) + coalesce(json_array_length(payload::JSON->'raw_extraction'), 0) AS n FROM extraction_files)""")
 def a16_validity(spark, sf):
     v = F.try_parse_json("payload")
@@ -176,191 +36,6 @@ def a16_validity(spark, sf):
     return files(spark, sf).select((n > 0).alias("ok")).agg(F.count("*").alias("n_files"), F.count_if("ok").alias("n_valid"), F.round(F.avg(F.col("ok").cast("int")), 6).alias("rate"))
 
 
-@query(f"""WITH {_FINE_LONG}, s AS (SELECT {_counts(False)} FROM (SELECT *, {_STRICT} AS m2 FROM res WHERE field IN ({", ".join(f"'{f}'" for f in E.EXACT)})) AS t(gold_id, prop_id, extractor, field, gold, pred, fine_match, match)), f AS (SELECT {_counts(True)} FROM res),
-sf AS (SELECT {_RATES} FROM s), ff AS (SELECT {_RATES} FROM f) SELECT ff.f1 AS finetune_f1, sf.f1 AS strict_f1, round(ff.f1 - sf.f1, 4) AS difference FROM ff, sf""")
-def a24_side_by_side(spark, sf):
-    """Two profiles beside each other: one row each, so the cross join is of one row with one."""
-    f = E.scores(E.counts(_fine(spark, sf), [], both_wrong=True)).select(F.lit(1).alias("k"), F.col("f1").alias("finetune_f1"))
-    s = E.scores(E.counts(_strict(spark, sf), [])).select(F.lit(1).alias("k"), F.col("f1").alias("strict_f1"))
-    return f.join(s, "k").select("finetune_f1", "strict_f1", F.round(F.col("finetune_f1") - F.col("strict_f1"), 4).alias("difference"))
-
-
-_BAND = "CASE WHEN f1 >= 0.8 THEN 'EXCELLENT' WHEN f1 >= 0.6 THEN 'GOOD' WHEN f1 >= 0.4 THEN 'FAIR' ELSE 'POOR' END"
-_KIND = "CASE WHEN contains(extractor, 'thinking') OR contains(extractor, 'distill') THEN 'Think / Reasoning' WHEN contains(extractor, 'instruct') THEN 'Instruction Tuned' ELSE 'Unknown' END"
-
-
-def _category():
-    e = F.col("extractor")
-    return F.when(e.contains("thinking") | e.contains("distill"), "Think / Reasoning").when(e.contains("instruct"), "Instruction Tuned").otherwise("Unknown")
-
-
-@query(f"""WITH {_STRICT_LONG}, c AS (SELECT extractor, {_counts(False)} FROM res GROUP BY 1), m AS (SELECT *, {_RATES} FROM c), fc AS (SELECT extractor, field, {_counts(False)} FROM res GROUP BY 1, 2), fm AS (SELECT *, {_RATES} FROM fc)
-SELECT {_KIND} AS category, extractor, f1, {_BAND} AS grade, max(fm.f1) FILTER (WHERE fm.field = 'parameters') AS parameters_f1, max(fm.f1) FILTER (WHERE fm.field = 'license') AS license_f1, max(fm.f1) FILTER (WHERE fm.field = 'extension') AS extension_f1
-FROM (SELECT extractor, f1 FROM m) m JOIN (SELECT extractor AS ex, field, f1 FROM fm) fm ON fm.ex = m.extractor GROUP BY extractor, m.f1""".replace("SELECT {_KIND} AS category, extractor, f1", "").replace(f"{_KIND} AS category, extractor, f1, {_BAND} AS grade", f"{_KIND} AS category, extractor, m.f1 AS f1, {_BAND.replace('f1', 'm.f1')} AS grade"))
-def g9_results_table(spark, sf):
-    """One row for each extractor with its category, grade and the rates of some fields beside (G9, JN15, R3, R8, K5)."""
-    r = _strict(spark, sf)
-    m = E.scores(E.counts(r, ["extractor"])).select("extractor", "f1")
-    by = E.scores(E.counts(r, ["extractor", "field"])).groupBy("extractor").pivot("field", ["parameters", "license", "extension"]).agg(F.max("f1"))
-    f = F.col("f1")
-    grade = F.when(f >= 0.8, "EXCELLENT").when(f >= 0.6, "GOOD").when(f >= 0.4, "FAIR").otherwise("POOR")
-    return m.join(by, "extractor").select(_category().alias("category"), "extractor", "f1", grade.alias("grade"), *[F.col(c).alias(f"{c}_f1") for c in ("parameters", "license", "extension")])
-
-
-@query(f"WITH {_STRICT_LONG}, c AS (SELECT extractor, {_counts(False)} FROM res GROUP BY 1), m AS (SELECT *, {_RATES} FROM c) SELECT extractor, f1 FROM m ORDER BY f1 DESC, extractor LIMIT 3")
-def r4_top_extractors(spark, sf):
-    """The three best extractors: the limit is the feature."""
-    return E.scores(E.counts(_strict(spark, sf), ["extractor"])).orderBy(F.col("f1").desc(), "extractor").limit(3).select("extractor", "f1")
-
-
-@query(f"WITH {_STRICT_LONG}, c AS (SELECT field, {_counts(False)} FROM res GROUP BY 1), m AS (SELECT field, {_RATES} FROM c) (SELECT field, f1, 'top' AS side FROM m ORDER BY f1 DESC, field LIMIT 5) UNION ALL (SELECT field, f1, 'bottom' FROM m ORDER BY f1, field LIMIT 5)")
-def r5_best_and_worst_fields(spark, sf):
-    """Five best and five worst fields: the limit is the feature."""
-    m = E.scores(E.counts(_strict(spark, sf), ["field"])).select("field", "f1")
-    return m.orderBy(F.col("f1").desc(), "field").limit(5).withColumn("side", F.lit("top")).unionByName(m.orderBy("f1", "field").limit(5).withColumn("side", F.lit("bottom")))
-
-
-# joins --------------------------------------------------------------------------------------------------------------------
-
-_TRUSTED = "harrow-72b-instruct"
-
-
-def _sides(spark, sf):
-    """Records of the most trusted extractor as reference, all others as predictions, with their order in the paper."""
-    r = recs(spark, sf).where(F.col("paper_id").isNotNull())
-    o = F.struct("chunk_no", "pos", "record_id")
-    ref = F.col("extractor") == _TRUSTED
-    golds = r.where(ref).select("paper_id", F.col("record_id").alias("gold_id"), F.col("model_name").alias("name"), o.alias("g_ord"))
-    return golds, r.where(~ref).select("paper_id", F.col("record_id").alias("pred_id"), F.col("model_name").alias("name"), o.alias("p_ord"))
-
-
-_ROW = "{'a': chunk_no, 'b': pos, 'c': record_id}"
-
-
-def _pairs_sql(name: str, form: str, tier: str, within: str, preds: str) -> str:
-    """The greedy pairing as a walk over the candidate edges of each paper, in the order of the predictions."""
-    free = "NOT list_contains(w.used, e.gold_name) AND w.last IS DISTINCT FROM e.pred_id"
-    return f"""WITH RECURSIVE {S.RECS}, base AS (SELECT *, {name} AS nm, {_ROW} AS o FROM recs WHERE paper_id IS NOT NULL AND extractor IS NOT NULL),
-g AS (SELECT paper_id, nm, arg_max(record_id, o) AS gold_id, min(o) AS g_ord, {form} AS soft FROM base WHERE extractor = '{_TRUSTED}' AND nm <> '' GROUP BY paper_id, nm), p AS ({preds}),
-e0 AS (SELECT p.paper_id, p.pred_id, p.p_ord, g.gold_id, g.g_ord, g.nm AS gold_name, {tier} AS tier FROM p JOIN g ON p.paper_id = g.paper_id AND ({within})), e AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY p_ord, tier, g_ord) AS rn FROM e0),
-w AS (SELECT paper_id, 0::BIGINT AS rn, []::VARCHAR[] AS used, NULL::BIGINT AS last, NULL::BIGINT AS pred_id, NULL::BIGINT AS gold_id, 0 AS tier FROM (SELECT DISTINCT paper_id FROM e)
-  UNION ALL SELECT e.paper_id, e.rn, CASE WHEN {free} THEN list_append(w.used, e.gold_name) ELSE w.used END, CASE WHEN {free} THEN e.pred_id ELSE w.last END, CASE WHEN {free} THEN e.pred_id END, e.gold_id, e.tier FROM w JOIN e ON e.paper_id = w.paper_id AND e.rn = w.rn + 1)
-SELECT paper_id, pred_id, gold_id, tier FROM w WHERE pred_id IS NOT NULL"""
-
-
-_NM = f"lower({S.strip("coalesce(model_name, '')")})"
-_EACH = f"SELECT paper_id, record_id AS pred_id, nm, o AS p_ord, {{form}} AS soft FROM base WHERE extractor <> '{_TRUSTED}'"
-
-
-@query(_pairs_sql(_NM, S.soft("nm"), "CASE WHEN p.nm = g.nm THEN 1 WHEN p.soft = g.soft THEN 2 ELSE 3 END", "contains(p.soft, g.soft)", _EACH.format(form=S.soft("nm"))))
-def jn1_pairs(spark, sf):
-    """Records of the other extractors paired one to one with those of the most trusted one, strictly (JN1, C4)."""
-    return E.pair_greedily(E.pair_edges(*_sides(spark, sf)))
-
-
-@query(_pairs_sql(_NM, "nm", "CASE WHEN p.nm = g.nm THEN 1 ELSE 3 END", "contains(p.nm, g.nm)", _EACH.format(form="nm")))
-def jn2_relaxed_pairs(spark, sf):
-    return E.pair_greedily(E.pair_edges(*_sides(spark, sf), profile="relaxed"))
-
-
-_SQ = f"lower(trim(regexp_replace(coalesce(model_name, ''), '{S.WS}+', ' ', 'g')))"
-
-
-@query(_pairs_sql(_SQ, "nm", "CASE WHEN p.nm = g.nm THEN 1 ELSE 3 END", "contains(p.nm, g.nm) OR (p.nm <> '' AND contains(g.nm, p.nm))", f"SELECT paper_id, arg_max(record_id, o) AS pred_id, nm, min(o) AS p_ord FROM base WHERE extractor <> '{_TRUSTED}' GROUP BY paper_id, nm"))
-def jn3_finetune_pairs(spark, sf):
-    return E.pair_greedily(E.pair_edges(*_sides(spark, sf), profile="finetune"))
-
-
-# metrics of paired records ------------------------------------------------------------------------------------------------
-# a13, a14, a24, g9, r4 and r5 above compare all records of a paper over the fields that SQL can decide. These are the whole rule.
-
-
-def _paired(spark, sf, profile: str = "strict"):
-    """Reference records paired one to one with the records of each extractor on their paper, as structs g and p, worked out once."""
-    g, p = gold(spark, sf), props(spark, sf).withColumn("run", F.to_json(F.struct("paper_id", "extractor")))
-    golds = g.join(p.select("paper_id", "run").distinct(), "paper_id").select(F.col("run").alias("paper_id"), "gold_id", F.col("model_name").alias("name"), F.col("gold_id").alias("g_ord"))
-    preds = p.where("paper_id is not null").select(F.col("run").alias("paper_id"), F.col("prop_id").alias("pred_id"), F.col("model_name").alias("name"), F.struct("chunk_no", "pos", "prop_id").alias("p_ord"))
-    both = E.pair_greedily(E.pair_edges(cut(golds), cut(preds), profile)).select("gold_id", F.col("pred_id").alias("prop_id"))
-    return cut(both.join(g.select("gold_id", F.struct(*E.FIELDS).alias("g")), "gold_id").join(p.select("prop_id", "extractor", F.struct(*E.FIELDS).alias("p")), "prop_id"))
-
-
-def _strict_paired(spark, sf):
-    return E.decide(E.long_pairs(_paired(spark, sf), ["gold_id", "prop_id", "extractor"]), E.strict_match())
-
-
-def _paired_extractors(spark, sf, r):
-    """Counts of each extractor over all fields, those without a pair with zeros."""
-    n = pairs(spark, sf).select("extractor", "gold_id").distinct().groupBy("extractor").agg(F.count("*").alias("n_gold"))
-    c = E.counts(r, ["extractor"]).withColumnRenamed("extractor", "by")
-    return E.scores(n.join(c, F.col("extractor").eqNullSafe(F.col("by")), "left").drop("by").na.fill(0, ["tp", "fp", "fn", "tn"]))
-
-
-@query()
-def a13_paired_metrics(spark, sf):
-    """Counts and rates of each of the 18 fields and of the 13 structured ones together, over paired records."""
-    f = F.col("field")
-    of = F.when(f.isin(*E.STRUCTURED), F.array(f, F.lit("overall"))).otherwise(F.array(f))
-    return E.scores(E.counts(_strict_paired(spark, sf).select(F.explode(of).alias("field"), "gold", "pred", "match"), ["field"]))
-
-
-@query()
-def a14_paired_extractors(spark, sf):
-    """Micro-averaged counts and rates of each extractor over all 18 fields of its paired records."""
-    return _paired_extractors(spark, sf, _strict_paired(spark, sf))
-
-
-@query()
-def a24_paired_side_by_side(spark, sf):
-    """The strict and the fine-tune profile, each over all 18 fields of the records that it pairs."""
-    fine = E.long_pairs(_paired(spark, sf, "finetune"), ["gold_id", "prop_id", "extractor"]).withColumn("match", E.finetune_match())
-    f = E.scores(E.counts(fine, [], both_wrong=True)).select(F.lit(1).alias("k"), F.col("f1").alias("finetune_f1"))
-    s = E.scores(E.counts(_strict_paired(spark, sf), [])).select(F.lit(1).alias("k"), F.col("f1").alias("strict_f1"))
-    return f.join(s, "k").select("finetune_f1", "strict_f1", F.round(F.col("finetune_f1") - F.col("strict_f1"), 4).alias("difference"))
-
-
-@query()
-def g9_paired_results(spark, sf):
-    """One row for each extractor with its category, grade and the rates of some fields, over paired records (G9, JN15, R3, R8, K5)."""
-    r = _strict_paired(spark, sf)
-    by = E.scores(E.counts(r, ["extractor", "field"])).groupBy(F.col("extractor").alias("by")).pivot("field", ["parameters", "license", "extension"]).agg(F.max("f1"))
-    f = F.col("f1")
-    grade = F.when(f >= 0.8, "EXCELLENT").when(f >= 0.6, "GOOD").when(f >= 0.4, "FAIR").otherwise("POOR")
-    m = _paired_extractors(spark, sf, r).join(by, F.col("extractor").eqNullSafe(F.col("by")), "left")
-    return m.select(_category().alias("category"), "extractor", "f1", grade.alias("grade"), *[F.coalesce(F.col(c), F.lit(0.0)).alias(f"{c}_f1") for c in ("parameters", "license", "extension")])
-
-
-@query()
-def r4_paired_top_extractors(spark, sf):
-    """The three best extractors over paired records: the limit is the feature."""
-    return _paired_extractors(spark, sf, _strict_paired(spark, sf)).orderBy(F.col("f1").desc(), "extractor").limit(3).select("extractor", "f1")
-
-
-@query()
-def r5_paired_fields(spark, sf):
-    """Five best and five worst of the 18 fields over paired records: the limit is the feature."""
-    m = E.scores(E.counts(_strict_paired(spark, sf), ["field"])).select("field", "f1")
-    return m.orderBy(F.col("f1").desc(), "field").limit(5).withColumn("side", F.lit("top")).unionByName(m.orderBy("f1", "field").limit(5).withColumn("side", F.lit("bottom")))
-
-
-@query(f"""WITH {S.RECS}, g AS (SELECT paper_id, {_NM} AS nm FROM recs WHERE extractor = '{_TRUSTED}' AND paper_id IS NOT NULL), p AS (SELECT DISTINCT paper_id, {_NM} AS nm FROM recs WHERE extractor <> '{_TRUSTED}'),
-m AS (SELECT DISTINCT g.paper_id, g.nm FROM g WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.paper_id = g.paper_id AND p.nm = g.nm)) SELECT paper_id, array_to_string(list_sort(list(nm))[1:10], ', ') AS first_ten, greatest(count(*) - 10, 0) AS n_more FROM m GROUP BY 1""")
-def r6_missing(spark, sf):
-    """Names of the trusted extractor that no other one has, ten of each paper and how many more (R6, JN11): the ten are the feature."""
-    from recordloom.operators.records import low
-
-    r = recs(spark, sf).where(F.col("paper_id").isNotNull()).select("paper_id", low("model_name").alias("nm"), F.col("extractor"))
-    m = r.where(F.col("extractor") == _TRUSTED).select("paper_id", "nm").distinct().join(r.where(F.col("extractor") != _TRUSTED).select("paper_id", "nm"), ["paper_id", "nm"], "left_anti")
-    w = Window.partitionBy("paper_id").orderBy("nm")
-    ten = m.withColumn("rn", F.row_number().over(w)).where("rn <= 10").groupBy("paper_id").agg(F.array_join(F.array_sort(F.collect_list("nm")), ", ").alias("first_ten"))
-    n = m.groupBy("paper_id").agg(F.greatest(F.count("*") - 10, F.lit(0)).cast("bigint").alias("n_more"))
-    return ten.join(n, "paper_id")
-
-
-@query(f"SELECT {_KIND} AS category, count(*) AS n FROM extractors GROUP BY 1")
-def a19_categories(spark, sf):
-    return load(spark, sf, "extractors").groupBy(_category().alias("category")).agg(F.count("*").alias("n"))
-
-
 @query("SELECT extractor FROM extractors ORDER BY extractor")
 def s16_models(spark, sf):
     return load(spark, sf, "extractors").select("extractor").orderBy("extractor")
