@@ -73,6 +73,29 @@ def members(files: DataFrame) -> DataFrame:
     return pairs.withColumn("field_name", field_of(F.col("key"))).withColumn("json_type", json_type(F.coalesce(F.schema_of_variant("value"), F.lit("VOID"))))
 
 
+def path_of(key: Column, field: Column) -> Column:
+    """The path under which a key's values are fused: the followed field, else the words of the key."""
+    return F.coalesce(field, F.nullif(F.array_join(key_words(key), "_"), F.lit("")), key)
+
+
+def unread(files: DataFrame) -> DataFrame:
+    """(file_id, folder, reason): files that give no record, once each: no payload, no JSON, or no records in either layout."""
+    doc = files.select("file_id", "folder", "payload").withColumn("doc", F.try_parse_json("payload"))
+    n = sum((F.coalesce(F.greatest(F.size(F.try_variant_get("doc", f"$.{k}", "array<variant>")), F.lit(0)), F.lit(0)) for k in RECORD_KEYS), F.lit(0))
+    reason = F.when(F.col("payload").isNull(), "no payload").when(F.col("doc").isNull(), "no JSON").when(n == 0, "no records")
+    return doc.select("file_id", "folder", reason.alias("reason")).where("reason is not null").dropDuplicates(["file_id"])  # no payload is moved
+
+
+def alternatives(files: DataFrame) -> DataFrame:
+    """(path, json_type, n_values, first_at): the types met under each path of all record objects, and when each first appeared.
+
+    Values that are null have no type. Files delivered twice count once.
+    """
+    typed = members(files).where(F.col("json_type").isNotNull())
+    m = typed.select("file_id", "written_at", "pos", "key", "field_name", "json_type").distinct()  # after the payloads are gone
+    return m.groupBy(path_of(F.col("key"), F.col("field_name")).alias("path"), "json_type").agg(F.count("*").alias("n_values"), F.min("written_at").alias("first_at"))
+
+
 def file_schemas(files: DataFrame) -> DataFrame:
     """One row for each file that has records: folder, written_at, file_id and, for each field, its key and JSON type in that file.
 
@@ -137,33 +160,43 @@ def changes(files: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
 
 
 def consistent(files: DataFrame) -> DataFrame:
-    """One row for each record: file_id, folder, written_at, pos, model_name and, for each field, the tag of its type, one typed
-    branch for each alternative and one canonical text.
+    """One row for each record: file_id, folder, written_at, pos, model_name; for each followed field the key it had, the tag of its
+    type, one typed branch for each alternative and one canonical text; and others, a map of every other path to its tag and text.
 
     The canonical text of an array is its elements joined by "; ", of an object its member "main", "value" or "text" or else its
-    JSON, of a number its plain form, of a boolean true or false. A record without a field has NULL in all of its columns.
+    JSON, of a number its plain form, of a boolean true or false. A record without a field has NULL in all of its columns; a null
+    is a path of others with NULL tag and text. Of several keys of one path in a record the one with a value counts, then the
+    smallest. A record without any key gives no row; files that give none are listed by unread.
     """
-    m = members(files).where(F.col("field_name").isNotNull() | (F.col("key") == "model_name"))
+    m = members(files)
     first = lambda cond, c: F.min_by(c, F.when(cond & F.col("value").isNotNull(), F.struct(F.col("json_type").isNull(), F.col("key"))))
     outs = [first(F.col("key") == "model_name", F.to_json("value")).alias("model_name_json")]
     for f in FIELDS:
         cond = F.col("field_name") == f
         outs += [first(cond, F.to_json("value")).alias(f"{f}_json"), first(cond, F.col("json_type")).alias(f"{f}_tag"), first(cond, F.col("key")).alias(f"{f}_key")]
+    other = F.col("field_name").isNull() & (F.col("key") != "model_name")
+    entry = F.struct(path_of(F.col("key"), F.col("field_name")).alias("path"), F.col("json_type").isNull().alias("empty"), "key", F.col("json_type").alias("tag"), F.when(F.col("json_type").isNotNull(), F.to_json("value")).alias("json"))
+    outs.append(F.array_sort(F.collect_set(F.when(other, entry))).alias("others"))
     g = m.groupBy("file_id", "folder", "written_at", "pos").agg(*outs)
+
+    def canonical(v: Column, tag: Column, json: Column) -> Column:
+        text, strings = F.try_variant_get(v, "$", "string"), F.try_variant_get(v, "$", "array<string>")
+        main = F.coalesce(*[F.try_variant_get(v, f"$.{k}", "string") for k in ("main", "value", "text")], json)
+        return F.when(tag == "array", F.array_join(strings, "; ")).when(tag == "object", main).otherwise(text)
+
     cols: list[Column] = [F.try_variant_get(F.try_parse_json("model_name_json"), "$", "string").alias("model_name")]
     for f in FIELDS:
         v, tag = F.try_parse_json(f"{f}_json"), F.col(f"{f}_tag")
-        text = F.try_variant_get(v, "$", "string")
-        strings = F.try_variant_get(v, "$", "array<string>")
-        main = F.coalesce(*[F.try_variant_get(v, f"$.{k}", "string") for k in ("main", "value", "text")], F.col(f"{f}_json"))
         cols += [
             F.col(f"{f}_key"),
             tag,
-            F.when(tag == "string", text).alias(f"{f}_string"),
+            F.when(tag == "string", F.try_variant_get(v, "$", "string")).alias(f"{f}_string"),
             F.when(tag == "number", F.try_variant_get(v, "$", "double")).alias(f"{f}_number"),
             F.when(tag == "boolean", F.try_variant_get(v, "$", "boolean")).alias(f"{f}_boolean"),
-            F.when(tag == "array", strings).alias(f"{f}_array"),
+            F.when(tag == "array", F.try_variant_get(v, "$", "array<string>")).alias(f"{f}_array"),
             F.when(tag == "object", F.col(f"{f}_json")).alias(f"{f}_object"),
-            F.when(tag == "array", F.array_join(strings, "; ")).when(tag == "object", main).otherwise(text).alias(f),
+            canonical(v, tag, F.col(f"{f}_json")).alias(f),
         ]
-    return g.select("file_id", "folder", "written_at", "pos", *cols)
+    once = F.filter("others", lambda x, i: (i == 0) | (F.get(F.col("others"), i - 1)["path"] != x["path"]))
+    typed = F.transform(once, lambda x: F.struct(x["path"].alias("path"), F.struct(x["tag"].alias("tag"), canonical(F.try_parse_json(x["json"]), x["tag"], x["json"]).alias("text")).alias("value")))
+    return g.select("file_id", "folder", "written_at", "pos", *cols, F.map_from_entries(typed).alias("others"))

@@ -56,6 +56,16 @@ def test_consistent_table(spark):
     assert (b.model_version, b.paper_title_string, b.extension_boolean, b.extension) == (None, "S", True, "true")
 
 
+def test_all_paths_and_unread_files(spark):
+    df = frame(spark, [doc({"model_name": "A", "Learning-Rate": 0.1, "learning_rate": None, "tags": ["a", 1], "opt": {"value": "x"}, "none": None}, 5, {}), "no json", None, doc(), '[1]'])
+    (r,) = drift.consistent(df.union(df)).collect()
+    assert {k: tuple(v) for k, v in r.others.items()} == {"learning_rate": ("number", "0.1"), "tags": ("array", "a; 1"), "opt": ("object", "x"), "none": (None, None)}
+    assert {(u.file_id, u.reason) for u in drift.unread(df.union(df)).collect()} == {(2, "no JSON"), (3, "no payload"), (4, "no records"), (5, "no records")}
+    got = {(a.path, a.json_type, a.n_values) for a in drift.alternatives(df.union(df)).collect()}
+    assert got == {("model_name", "string", 1), ("learning_rate", "number", 1), ("tags", "array", 1), ("opt", "object", 1)}
+    assert drift.unread(df.limit(0)).count() == drift.alternatives(df.limit(0)).count() == 0
+
+
 def test_against_brute_force(spark, small):
     import pandas as pd
 
