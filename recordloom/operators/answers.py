@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordloom.functions.names import let
 from recordloom.missing import trim_all
@@ -214,6 +215,60 @@ def fold_key(key: Column) -> Column:
     return F.coalesce(F.try_element_at(table, F.replace(F.lower(F.trim(key)), F.lit(" "), F.lit("_"))), key)
 
 
+_NULLS = ("null", "none", "n/a")
+#: Fields that every model of an answer has, if only as null.
+_EXPECTED = ("organization", "parameters", "license", "date_created", "pretraining_architecture", "pretraining_task", "finetuning_task", "optimizer", "research_problem", "architecture", "innovation", "hardware_used")
+
+
+def _walked(v):
+    """A value with its keys led back to field names and null words as nulls, at every depth."""
+    if isinstance(v, dict):
+        return {SYNONYMS.get(k.strip().lower().replace(" ", "_"), k): _walked(x) for k, x in v.items()}
+    if isinstance(v, list):
+        return [_walked(x) for x in v]
+    return None if isinstance(v, str) and v.strip().lower() in _NULLS else v
+
+
+def _completed(model: dict) -> dict:
+    full = dict.fromkeys(_EXPECTED) | model
+    size = full.get("parameters")
+    if size and not full.get("parameters_millions"):
+        number = re.search(r"\d+\.?\d*", str(size).replace(",", ""))
+        full["parameters_millions"] = int(float(number[0]) * (1000 if "B" in str(size).upper() else 1)) if number else None
+    if full.get("model_family") is None:
+        name = full.get("model_name")
+        full["model_family"] = name.split("-")[0] if isinstance(name, str) and name else None
+    return full
+
+
+def standard(text: str | None) -> str | None:
+    """An answer in its standard form: {"models": [...], "paper_describes_multiple_models": ...}, or NULL if it is no JSON object.
+
+    Keys and null words are settled at every depth; a bare model is wrapped; models get what can be derived (family, millions) and
+    nulls for what is missing; without a flag there are multiple models if there is more than one.
+    """
+    try:
+        d = _walked(json.loads(text or ""))
+    except (ValueError, RecursionError):
+        return None
+    if not isinstance(d, dict):
+        return None
+    if "models" not in d and "Models" in d:
+        d["models"] = d.pop("Models")
+    if "models" not in d and "model_name" in d:
+        d = {"models": [d]}
+    models = d.get("models") if isinstance(d.get("models"), list) else []
+    d["models"] = [_completed(m) for m in models if isinstance(m, dict)]
+    d.setdefault("paper_describes_multiple_models", len(d["models"]) > 1)
+    return json.dumps(d, ensure_ascii=False)
+
+
+@F.pandas_udf(T.StringType())
+def standard_form(texts: pd.Series) -> pd.Series:
+    """standard, in Arrow batches: nested objects of any depth are beyond built-in functions."""
+    return texts.map(standard)
+
+
 def affiliation(authors: Column) -> Column:
     """The first affiliation word in the first author's name that has one."""
     words = F.array(*map(F.lit, AFFILIATIONS))

@@ -276,7 +276,7 @@ def j3_repair(spark, sf):
     """Broken answers (cut, keys without quotes, quotes inside values) repaired: only those that do not parse as they stand go through Python."""
     p = F.when(F.length("payload") % 3 == 0, F.expr("left(payload, length(payload) - 3)")).when(F.length("payload") % 3 == 1, F.regexp_replace("payload", '"(license|parameters)":', "$1:")).when(F.length("payload") % 6 == 5, F.regexp_replace("payload", '("(?:research_problem|extension|title)": ?"[^" ]+) ', '$1" ')).otherwise(F.col("payload"))
     broken = files(spark, sf).where(F.col("payload").isNotNull()).select("file_id", p.alias("answer"))
-    return J.parse_or_repair(broken, "answer").select("file_id", "repaired", F.col("json").isNotNull().alias("parsed"))
+    return J.parse_or_repair(broken, "answer").select("file_id", "repaired", F.col("json").isNotNull().alias("parsed"), "json")
 
 
 @query(rf"""WITH {_FILES}, b AS (SELECT file_id, regexp_replace(payload, '"(license|parameters|tokenizer)":', '\1:', 'g') AS s FROM f)
@@ -304,6 +304,22 @@ def j8_fold_keys(spark, sf):
     return r.select("key", J.fold_key(F.col("key")).alias("folded")).groupBy("key", "folded").agg(F.count("*").alias("n"))
 
 
+_RECORDS = f"""{_FILES}, r AS (SELECT file_id, unnest((CASE WHEN json_array_length(payload::JSON->'extraction_data') > 0 THEN payload::JSON->'extraction_data' ELSE payload::JSON->'raw_extraction' END)::JSON[]) AS r,
+  CASE WHEN json_array_length(payload::JSON->'extraction_data') > 0 THEN json_array_length(payload::JSON->'extraction_data') ELSE json_array_length(payload::JSON->'raw_extraction') END AS n FROM f)"""
+
+
+@query(f"""WITH {_RECORDS} SELECT file_id, r->>'model_name' AS model_name, coalesce({"CASE WHEN lower(trim(r->>'model_family')) NOT IN ('null', 'none', 'n/a') THEN r->>'model_family' END"}, split_part(r->>'model_name', '-', 1)) AS model_family, n > 1 AS multiple FROM r""")
+def j11_envelopes(spark, sf):
+    """Answers brought to their standard form, those of one record bare, the others as a list under another key: families and flags."""
+    doc = files(spark, sf).where(F.col("payload").isNotNull()).select("file_id", F.try_parse_json("payload").alias("doc"))
+    a, b = (F.try_variant_get("doc", f"$.{k}", "array<variant>") for k in ("extraction_data", "raw_extraction"))
+    rs = F.when(F.size(a) > 0, a).when(F.size(b) > 0, b)
+    answer = F.when(F.size(rs) == 1, F.to_json(rs[0])).otherwise(F.concat(F.lit('{"Models": '), F.to_json(rs), F.lit("}")))
+    form = doc.where(rs.isNotNull()).select("file_id", F.try_parse_json(J.standard_form(answer)).alias("form"))
+    each = form.select("file_id", F.explode(F.try_variant_get("form", "$.models", "array<variant>")).alias("m"), F.try_variant_get("form", "$.paper_describes_multiple_models", "boolean").alias("multiple"))
+    return each.select("file_id", F.try_variant_get("m", "$.model_name", "string").alias("model_name"), F.try_variant_get("m", "$.model_family", "string").alias("model_family"), "multiple")
+
+
 def _m1(x: str) -> str:
     return f"CASE WHEN lower({S.strip(x)}) IN ('null', 'none', 'n/a') THEN NULL ELSE {x} END"
 
