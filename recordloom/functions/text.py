@@ -13,6 +13,7 @@ MAIL = r"(?U)\S+@\S+"
 SECTIONS = {"introduction": "introduction", "methods": "(?:methods?|methodology)", "results": "results?", "conclusion": "conclusions?"}
 TABLES_START, TABLES_END = "\n\n[TABLES FROM DOCUMENT]\n\n", "\n\n[END TABLES]\n\n"
 SNIPPET = 65_000
+SHORT_SNIPPET = 8_000
 
 
 def clean_text(c: Column) -> Column:

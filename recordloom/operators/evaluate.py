@@ -207,7 +207,7 @@ def cosine(a: Column, b: Column) -> Column:
 # pairing ------------------------------------------------------------------------------------------------------------------
 
 
-def _held_in(outer: DataFrame, inner: DataFrame) -> DataFrame:
+def held_in(outer: DataFrame, inner: DataFrame) -> DataFrame:
     """(paper_id, outer, inner): texts of a paper that hold others, by joining all substrings of the lengths that the others have."""
     lengths = inner.select("paper_id", F.length("inner").alias("n")).where("n > 0").distinct()
     spots = outer.join(lengths, "paper_id").where(F.length("outer") >= F.col("n"))
@@ -232,9 +232,9 @@ def pair_edges(golds: DataFrame, preds: DataFrame, profile: str = "strict") -> D
     if profile == "finetune":
         p = p.groupBy("paper_id", "pred_name").agg(F.max_by("pred_id", "p_ord").alias("pred_id"), F.min("p_ord").alias("p_ord"))
     kinds = p.select("paper_id", "pred_name").distinct().withColumn("outer", form(F.col("pred_name")))
-    spelled = _held_in(kinds.select("paper_id", "outer").distinct(), g.select("paper_id", "inner").distinct())
+    spelled = held_in(kinds.select("paper_id", "outer").distinct(), g.select("paper_id", "inner").distinct())
     if profile == "finetune":
-        back = _held_in(g.select("paper_id", F.col("inner").alias("outer")).distinct(), kinds.select("paper_id", F.col("outer").alias("inner")).where("inner != ''").distinct())
+        back = held_in(g.select("paper_id", F.col("inner").alias("outer")).distinct(), kinds.select("paper_id", F.col("outer").alias("inner")).where("inner != ''").distinct())
         spelled = spelled.unionByName(back.select("paper_id", F.col("inner").alias("outer"), F.col("outer").alias("inner"))).distinct()
     held = spelled.join(kinds, ["paper_id", "outer"]).join(g, ["paper_id", "inner"])
     tier = F.when(F.col("pred_name") == F.col("gold_name"), 1).when((F.col("outer") == F.col("inner")) & F.lit(profile == "strict"), 2).otherwise(3)

@@ -186,10 +186,21 @@ def t9_prompts(spark, sf):
     return d.join(p, "paper_id", "left").select("doc_id", F.md5(F.concat(F.when(F.col("found"), head).otherwise(empty), F.substring("text", 1, X.SNIPPET))).alias("prompt_md5"))
 
 
-@query("""SELECT doc_id, 'system: Extract model records as JSON.' || chr(10) || 'user: Example' || chr(10) || 'assistant: {"models": []}' || chr(10) || 'user: ' || md5(text) AS chat FROM documents WHERE text IS NOT NULL""")
+@query("SELECT doc_id, md5(substr(text, 1, 65000)) AS long_md5, md5(substr(text, 1, 8000)) AS short_md5, length(text) > 8000 AS is_cut FROM documents WHERE text IS NOT NULL")
+def t8_snippets(spark, sf):
+    """What a prompt shows of a text: 65,000 characters, or 8,000 for a small model: the limits are the feature."""
+    t = F.col("text")
+    return load(spark, sf, "documents").where(t.isNotNull()).select("doc_id", F.md5(F.substring(t, 1, X.SNIPPET)).alias("long_md5"), F.md5(F.substring(t, 1, X.SHORT_SNIPPET)).alias("short_md5"), (F.length(t) > X.SHORT_SNIPPET).alias("is_cut"))
+
+
+_EXAMPLES = [("We present Foo, a 7B decoder.", '{"models": [{"model_name": "Foo", "parameters": "7B"}]}'), ("Foo comes in 7B and 70B.", '{"models": [{"model_name": "Foo", "parameters": "7B, 70B"}]}'), ("We compare with Bar.", '{"models": []}'), ("Foo-2 extends Foo.", '{"models": [{"model_name": "Foo-2", "extension": "Foo"}]}')]
+_SHOWN = " || ".join(f"chr(10) || 'user: {u}' || chr(10) || 'assistant: {a}'" for u, a in _EXAMPLES)
+
+
+@query(f"""SELECT doc_id, 'system: Extract model records as JSON.' || {_SHOWN} || chr(10) || 'user: ' || substr(text, 1, 65000) AS chat FROM documents WHERE text IS NOT NULL""")
 def t10_messages(spark, sf):
-    """A chat for each document: instruction, worked examples, the text (here by its hash)."""
-    return load(spark, sf, "documents").where(F.col("text").isNotNull()).select("doc_id", J.messages(F.md5("text"), "Extract model records as JSON.", [("Example", '{"models": []}')]).alias("m")).select(
+    """A chat for each document: instruction, four worked examples, the text."""
+    return load(spark, sf, "documents").where(F.col("text").isNotNull()).select("doc_id", J.messages(F.substring("text", 1, X.SNIPPET), "Extract model records as JSON.", _EXAMPLES).alias("m")).select(
         "doc_id", F.array_join(F.transform("m", lambda x: F.concat_ws(": ", x["role"], x["content"])), "\n").alias("chat")
     )
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordloom.functions.text import squash
+from recordloom.functions.text import slug, squash
 from recordloom.operators import dataset as D
 from recordloom.operators import evaluate as E
 from recordloom.operators import mapping as M
 from recordloom.plans import sqlx as S
 from recordloom.plans.documents import files, papers, props
+from recordloom.plans.metrics import TRUSTED
 from recordloom.plans.records import gold, recs
 from recordloom.plans.registry import Registry
 from recordloom.session import load
@@ -51,13 +52,30 @@ def jn4_title_to_paper(spark, sf):
     return x.groupBy("gold_id").agg(F.min_by("paper_id", F.struct("tier", "paper_id")).alias("paper_id"), F.min("tier").alias("tier"))
 
 
-@query(rf"""WITH {S.PAPERS}, f AS (SELECT DISTINCT ON (file_id) file_id, file_name, split_part(split_part(file_name, '_', 1), 'v', 1) AS pre FROM extraction_files) SELECT paper_id, min(file_name) AS first_file, count(*) AS n_files FROM pap JOIN f ON split_part(arxiv_id, 'v', 1) = pre GROUP BY 1""")
+_SLUG = lambda c: rf"regexp_replace(regexp_replace(lower(coalesce({c}, '')), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')"
+
+
+@query(rf"""WITH {S.PAPERS}, f AS (SELECT DISTINCT ON (file_id) file_id, file_name, split_part(split_part(file_name, '_', 1), 'v', 1) AS pre, {_SLUG('file_name')} AS slug FROM extraction_files),
+p AS (SELECT paper_id, split_part(arxiv_id, 'v', 1) AS pre, substr({_SLUG('title')}, 1, 30) AS head FROM pap), a AS (SELECT p.paper_id, f.file_name FROM p JOIN f USING (pre)),
+b AS (SELECT p.paper_id, f.file_name FROM p JOIN f ON contains(f.slug, p.head) WHERE p.head <> '' AND p.paper_id NOT IN (SELECT paper_id FROM a))
+SELECT paper_id, min(file_name) AS first_file, count(*) AS n_files, found_by FROM (SELECT *, 'id' AS found_by FROM a UNION ALL SELECT *, 'title' FROM b) GROUP BY paper_id, found_by""")
 def jn7_paper_files(spark, sf):
-    """Papers to their files by the id that the file names begin with."""
+    """Papers to their files by the id that the file names begin with, else by the first 30 characters of their title's slug in it (JN7)."""
     base = lambda c: F.split_part(c, F.lit("v"), F.lit(1))
     f = files(spark, sf).select("file_name", base(F.split_part("file_name", F.lit("_"), F.lit(1))).alias("pre"))
-    p = papers(spark, sf).select("paper_id", base(F.col("arxiv_id")).alias("pre"))
-    return p.join(f, "pre").groupBy("paper_id").agg(F.min("file_name").alias("first_file"), F.count("*").alias("n_files"))
+    p = papers(spark, sf).select("paper_id", base(F.col("arxiv_id")).alias("pre"), F.substring(slug(F.col("title")), 1, 30).alias("head"))
+    by_id = p.join(f, "pre").select("paper_id", "file_name", F.lit("id").alias("found_by"))
+    return found_files(p, f, by_id).groupBy("paper_id", "found_by").agg(F.min("file_name").alias("first_file"), F.count("*").alias("n_files"))
+
+
+def found_files(p: DataFrame, f: DataFrame, by_id: DataFrame) -> DataFrame:
+    """by_id, and for papers without a file the files whose slug holds the head of the title, found by joining all pieces of the
+    file's slug of the lengths that the heads have (at most 30)."""
+    rest = p.where("head != ''").join(by_id.select("paper_id"), "paper_id", "left_anti")
+    lengths = rest.agg(F.collect_set(F.length("head")).alias("ls"))
+    named = f.select("file_name", slug(F.col("file_name")).alias("slug")).join(F.broadcast(lengths)).select("file_name", "slug", F.explode("ls").alias("k")).where(F.length("slug") >= F.col("k"))
+    pieces = named.select("file_name", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("slug") - F.col("k") + 1), lambda i: F.substring(F.col("slug"), i, F.col("k"))))).alias("head"))
+    return by_id.unionByName(rest.join(pieces, "head").select("paper_id", "file_name", F.lit("title").alias("found_by")))
 
 
 @query(f"""WITH {S.PAPERS}, g AS (SELECT DISTINCT paper_title FROM gold_models WHERE paper_title IS NOT NULL), l AS (SELECT title, min(arxiv_id) AS arxiv_id, min(pdf_url) AS pdf_url, max(doi) AS doi FROM pap GROUP BY 1)
@@ -72,19 +90,11 @@ def jn10_papers_list(spark, sf):
 
 @query(f"WITH {S.PAPERS} SELECT DISTINCT title FROM pap WHERE title IS NOT NULL AND title NOT IN (SELECT paper_title FROM gold_models WHERE paper_title IS NOT NULL)")
 def jn9_removed_titles(spark, sf):
-    """Titles of papers that no reference record names (JN9, JN11, JN12, JN14)."""
+    """Titles of papers that no reference record names (JN9)."""
     t = papers(spark, sf).select("title").where(F.col("title").isNotNull()).distinct()
     return t.join(gold(spark, sf).select(F.col("paper_title").alias("title")), "title", "left_anti")
 
 
-@query(f"""WITH {S.PROPS}, l AS (SELECT paper_id, lower(concat_ws(' ', model_name, nullif(model_version, ''), nullif(parameters, ''))) AS label FROM props) SELECT gold_id FROM gold_models g WHERE EXISTS (SELECT 1 FROM l WHERE l.paper_id = g.paper_id AND contains(l.label, lower(g.model_family)))""")
-def jn13_existing_models(spark, sf):
-    """Reference records whose family the label of a record of the same paper holds (JN13)."""
-    l = props(spark, sf).select("paper_id", F.lower(M.label()).alias("label")).distinct()
-    g = gold(spark, sf).select("gold_id", "paper_id", F.lower("model_family").alias("family"))
-    return g.join(l, (g.paper_id == l.paper_id) & F.contains(l.label, g.family), "left_semi").select("gold_id")
-
-
 def in_label(label, name, version=None, parameters=None):
     """Whether a label holds the name in any case and, where they are given, version and parameters as they are."""
     ok = F.contains(F.lower(label), F.lower(name))
@@ -94,12 +104,21 @@ def in_label(label, name, version=None, parameters=None):
     return ok
 
 
-@query(f"""WITH {S.PROPS}, l AS (SELECT paper_id, concat_ws(' ', model_name, nullif(model_version, ''), nullif(parameters, '')) AS label FROM props) SELECT gold_id FROM gold_models g WHERE EXISTS (SELECT 1 FROM l WHERE l.paper_id = g.paper_id AND contains(lower(l.label), lower(g.model_name)) AND (g.parameters IS NULL OR g.parameters = '' OR contains(l.label, g.parameters)))""")
+@query(f"""WITH {S.RECS}, l AS (SELECT DISTINCT paper_id, concat_ws(' ', model_name, nullif(model_version, ''), nullif(parameters, '')) AS label FROM recs WHERE extractor = '{TRUSTED}' AND paper_id IS NOT NULL),
+r AS (SELECT * FROM recs WHERE extractor <> '{TRUSTED}' AND coalesce(model_name, '') <> '') SELECT record_id FROM r WHERE EXISTS (SELECT 1 FROM l WHERE l.paper_id = r.paper_id AND contains(lower(l.label), lower(r.model_name))
+  AND (coalesce(r.model_version, '') = '' OR contains(l.label, r.model_version)) AND (coalesce(r.parameters, '') = '' OR contains(l.label, r.parameters)))""")
 def jn13_existing_names(spark, sf):
-    """Reference records whose name and size, where given, the label of a record of the same paper holds (JN13); they state no version."""
-    l = props(spark, sf).select("paper_id", M.label().alias("label")).distinct()
-    g = gold(spark, sf).select("gold_id", "paper_id", "model_name", "parameters")
-    return g.join(l, (g.paper_id == l.paper_id) & in_label(l.label, g.model_name, parameters=g.parameters), "left_semi").select("gold_id")
+    """Records whose name and, where they are given, version and size a label of the trusted extractor on their paper holds (JN13).
+
+    Names are led to the labels that hold them by joining the labels' pieces of the lengths that names have, so nothing is paired
+    all with all.
+    """
+    r = recs(spark, sf).where(F.col("paper_id").isNotNull())
+    l = r.where(F.col("extractor") == TRUSTED).select("paper_id", M.label().alias("label")).distinct().withColumn("outer", F.lower("label"))
+    asked = r.where((F.col("extractor") != TRUSTED) & (F.coalesce("model_name", F.lit("")) != "")).select("record_id", "paper_id", "model_name", "model_version", "parameters", F.lower("model_name").alias("inner"))
+    held = E.held_in(l.select("paper_id", "outer").distinct(), asked.select("paper_id", "inner").distinct())
+    both = asked.join(held, ["paper_id", "inner"]).join(l, ["paper_id", "outer"])
+    return both.where(in_label(F.col("label"), F.col("model_name"), F.col("model_version"), F.col("parameters"))).select("record_id").distinct()
 
 
 @query(f"""WITH {S.PROPS}, l AS (SELECT paper_id, concat_ws(' ', model_name, nullif(model_version, ''), nullif(parameters, '')) AS label, prop_id, chunk_no, pos FROM props) SELECT paper_id, label, arg_min(prop_id, {{'a': chunk_no, 'b': pos, 'c': prop_id}}) AS prop_id FROM l GROUP BY 1, 2""")
@@ -107,21 +126,38 @@ def jn17_id_by_label(spark, sf):
     return props(spark, sf).groupBy("paper_id", M.label().alias("label")).agg(F.min_by("prop_id", F.struct("chunk_no", "pos", "prop_id")).alias("prop_id"))
 
 
-@query("""WITH t AS (SELECT DISTINCT paper_title AS asked FROM gold_models WHERE paper_title IS NOT NULL UNION SELECT DISTINCT substr(paper_title, 1, 25) FROM gold_models WHERE length(paper_title) > 25),
-a AS (SELECT asked, lower(trim(asked)) AS q FROM t), g AS (SELECT gold_id, lower(trim(paper_title)) AS pt FROM gold_models WHERE paper_title IS NOT NULL), h AS (SELECT asked, gold_id, CASE WHEN pt = q THEN 0 ELSE 1 END AS tier FROM a JOIN g ON starts_with(pt, q)),
-b AS (SELECT asked, min(tier) AS best FROM h GROUP BY 1) SELECT asked, tier, count(*) AS n_gold FROM h JOIN b USING (asked) WHERE tier = best GROUP BY 1, 2""")
+_ASKED = """t AS (SELECT DISTINCT paper_title AS asked FROM gold_models WHERE paper_title IS NOT NULL UNION SELECT DISTINCT substr(paper_title, 1, 25) FROM gold_models WHERE length(paper_title) > 25 UNION SELECT DISTINCT title FROM papers WHERE title IS NOT NULL),
+a AS (SELECT asked, lower(trim(asked)) AS q FROM t), g AS (SELECT gold_id, lower(trim(paper_title)) AS pt FROM gold_models WHERE paper_title IS NOT NULL)"""
+
+
+@query(f"""WITH {_ASKED}, h AS (SELECT asked, gold_id, CASE WHEN pt = q THEN 0 ELSE 1 END AS tier FROM a JOIN g ON starts_with(pt, q)),
+b AS (SELECT asked, min(tier) AS best FROM h GROUP BY 1), n AS (SELECT asked, tier, count(*) AS n_gold FROM h JOIN b USING (asked) WHERE tier = best GROUP BY 1, 2),
+x AS (SELECT asked, count(*) FILTER (WHERE pt = q) AS n_exact FROM a LEFT JOIN g ON pt = q GROUP BY 1), e AS (SELECT count(*) AS every FROM gold_models)
+SELECT asked, coalesce(tier, 2) AS tier, coalesce(n_gold, every) AS n_gold, CASE WHEN n_exact > 0 THEN 0 ELSE 2 END AS relaxed_tier, CASE WHEN n_exact > 0 THEN n_exact ELSE every END AS relaxed_n_gold FROM x CROSS JOIN e LEFT JOIN n USING (asked)""")
 def f9_gold_of_title(spark, sf):
-    """Reference records of a title: those that equal it, else those that begin with it."""
-    titles = gold(spark, sf).select("paper_title").where(F.col("paper_title").isNotNull())
-    asked = titles.select(F.col("paper_title").alias("asked")).union(titles.where(F.length("paper_title") > 25).select(F.substring("paper_title", 1, 25))).distinct().withColumn("q", F.lower(F.trim("asked")))
+    """Reference records of a title: those that equal it, else those that begin with it, else all; relaxed: equal, else all."""
+    g0 = gold(spark, sf)
+    titles = g0.select("paper_title").where(F.col("paper_title").isNotNull())
+    known = titles.select(F.col("paper_title").alias("asked")).union(titles.where(F.length("paper_title") > 25).select(F.substring("paper_title", 1, 25))).union(load(spark, sf, "papers").where("title is not null").select("title"))
+    asked = known.distinct().withColumn("q", F.lower(F.trim("asked")))
     g = titles.select(F.lower(F.trim("paper_title")).alias("pt")).groupBy("pt").agg(F.count("*").alias("n"))
-    # a title begins with the question: join on its heads of the lengths that are asked
+    # a title begins with the question: join on its heads of the lengths that are asked, none longer than the longest title
     lengths = F.array_sort(F.collect_set(F.length("q")))
     heads = g.join(F.broadcast(asked.agg(lengths.alias("ls")))).select("pt", "n", F.explode(F.filter("ls", lambda k: k <= F.length("pt"))).alias("k")).withColumn("q", F.substring(F.col("pt"), F.lit(1), F.col("k")))
     h = asked.join(heads, "q").withColumn("tier", F.when(F.col("pt") == F.col("q"), 0).otherwise(1))
-    per = h.groupBy("asked", "tier").agg(F.sum("n").alias("n_gold"))
-    best = per.groupBy("asked").agg(F.min("tier").alias("tier"))
-    return per.join(best, ["asked", "tier"]).select("asked", "tier", "n_gold")
+    per = h.groupBy("asked").agg(F.sum(F.when(F.col("tier") == 0, F.col("n"))).alias("exact"), F.sum(F.when(F.col("tier") == 1, F.col("n"))).alias("begins"))
+    every = F.broadcast(g0.agg(F.count("*").alias("every")))  # one row
+    x = asked.join(per, "asked", "left").join(every)
+    tier = F.when(F.col("exact").isNotNull(), 0).when(F.col("begins").isNotNull(), 1).otherwise(2)
+    none = F.col("exact").isNull()
+    return x.select("asked", tier.alias("tier"), F.coalesce("exact", "begins", "every").alias("n_gold"), F.when(none, 2).otherwise(0).alias("relaxed_tier"), F.when(none, F.col("every")).otherwise(F.col("exact")).alias("relaxed_n_gold"))
+
+
+@query(f"""WITH {S.PAPERS} SELECT DISTINCT paper_id FROM pap WHERE lower(trim(title)) IN (SELECT lower(trim(paper_title)) FROM gold_models WHERE paper_title IS NOT NULL)""")
+def jn14_existing_papers(spark, sf):
+    """Papers that the catalog has already, by their title in any case (JN14)."""
+    low = lambda c: F.lower(F.trim(c)).alias("t")
+    return papers(spark, sf).select("paper_id", low("title")).join(gold(spark, sf).select(low("paper_title")), "t", "left_semi").select("paper_id").distinct()
 
 
 # mapping ------------------------------------------------------------------------------------------------------------------
@@ -229,8 +265,6 @@ def g10_shuffled_chats(spark, sf):
 @query(f"WITH {S.PAPERS}, f AS (SELECT DISTINCT * EXCLUDE (ingested_at, payload) FROM extraction_files), m AS (SELECT *, split_part(folder, '__', 1) AS model FROM f) SELECT file_id, regexp_replace(lower(model), '[^a-z0-9]+', '_', 'g') || '/' || replace(file_name, '/', '_') AS path FROM (SELECT *, row_number() OVER (PARTITION BY model, file_name ORDER BY written_at DESC, file_id) AS rn FROM m) WHERE rn = 1")
 def k3_newest_by_model(spark, sf):
     """Where result files go: one folder for each model, of several files of one name the newest (K1, K2, K3)."""
-    from recordloom.functions.text import slug
-
     f = files(spark, sf).select("file_id", "file_name", "written_at", F.element_at(F.split("folder", "__"), 1).alias("model"))
     w = Window.partitionBy("model", "file_name").orderBy(F.col("written_at").desc(), "file_id")
     return f.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("file_id", F.concat_ws("/", slug(F.col("model")), F.replace("file_name", F.lit("/"), F.lit("_"))).alias("path"))

@@ -20,14 +20,14 @@ query = Registry()
 
 # pairing ------------------------------------------------------------------------------------------------------------------
 
-_TRUSTED = "harrow-72b-instruct"
+TRUSTED = "harrow-72b-instruct"
 
 
 def _sides(spark, sf):
     """Records of the most trusted extractor as reference, all others as predictions, with their order in the paper."""
     r = recs(spark, sf).where(F.col("paper_id").isNotNull())
     o = F.struct("chunk_no", "pos", "record_id")
-    ref = F.col("extractor") == _TRUSTED
+    ref = F.col("extractor") == TRUSTED
     golds = r.where(ref).select("paper_id", F.col("record_id").alias("gold_id"), F.col("model_name").alias("name"), o.alias("g_ord"))
     return golds, r.where(~ref).select("paper_id", F.col("record_id").alias("pred_id"), F.col("model_name").alias("name"), o.alias("p_ord"))
 
@@ -39,7 +39,7 @@ def _pairs_sql(name: str, form: str, tier: str, within: str, preds: str) -> str:
     """The greedy pairing as a walk over the candidate edges of each paper, in the order of the predictions."""
     free = "NOT list_contains(w.used, e.gold_name) AND w.last IS DISTINCT FROM e.pred_id"
     return f"""WITH RECURSIVE {S.RECS}, base AS (SELECT *, {name} AS nm, {_ROW} AS o FROM recs WHERE paper_id IS NOT NULL AND extractor IS NOT NULL),
-g AS (SELECT paper_id, nm, arg_max(record_id, o) AS gold_id, min(o) AS g_ord, {form} AS soft FROM base WHERE extractor = '{_TRUSTED}' AND nm <> '' GROUP BY paper_id, nm), p AS ({preds}),
+g AS (SELECT paper_id, nm, arg_max(record_id, o) AS gold_id, min(o) AS g_ord, {form} AS soft FROM base WHERE extractor = '{TRUSTED}' AND nm <> '' GROUP BY paper_id, nm), p AS ({preds}),
 e0 AS (SELECT p.paper_id, p.pred_id, p.p_ord, g.gold_id, g.g_ord, g.nm AS gold_name, {tier} AS tier FROM p JOIN g ON p.paper_id = g.paper_id AND ({within})), e AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY p_ord, tier, g_ord) AS rn FROM e0),
 w AS (SELECT paper_id, 0::BIGINT AS rn, []::VARCHAR[] AS used, NULL::BIGINT AS last, NULL::BIGINT AS pred_id, NULL::BIGINT AS gold_id, 0 AS tier FROM (SELECT DISTINCT paper_id FROM e)
   UNION ALL SELECT e.paper_id, e.rn, CASE WHEN {free} THEN list_append(w.used, e.gold_name) ELSE w.used END, CASE WHEN {free} THEN e.pred_id ELSE w.last END, CASE WHEN {free} THEN e.pred_id END, e.gold_id, e.tier FROM w JOIN e ON e.paper_id = w.paper_id AND e.rn = w.rn + 1)
@@ -47,7 +47,7 @@ SELECT paper_id, pred_id, gold_id, tier FROM w WHERE pred_id IS NOT NULL"""
 
 
 _NM = f"lower({S.strip("coalesce(model_name, '')")})"
-_EACH = f"SELECT paper_id, record_id AS pred_id, nm, o AS p_ord, {{form}} AS soft FROM base WHERE extractor <> '{_TRUSTED}'"
+_EACH = f"SELECT paper_id, record_id AS pred_id, nm, o AS p_ord, {{form}} AS soft FROM base WHERE extractor <> '{TRUSTED}'"
 
 
 @query(_pairs_sql(_NM, S.soft("nm"), "CASE WHEN p.nm = g.nm THEN 1 WHEN p.soft = g.soft THEN 2 ELSE 3 END", "contains(p.soft, g.soft)", _EACH.format(form=S.soft("nm"))))
@@ -64,7 +64,7 @@ def jn2_relaxed_pairs(spark, sf):
 _SQ = f"lower(trim(regexp_replace(coalesce(model_name, ''), '{S.WS}+', ' ', 'g')))"
 
 
-@query(_pairs_sql(_SQ, "nm", "CASE WHEN p.nm = g.nm THEN 1 ELSE 3 END", "contains(p.nm, g.nm) OR (p.nm <> '' AND contains(g.nm, p.nm))", f"SELECT paper_id, arg_max(record_id, o) AS pred_id, nm, min(o) AS p_ord FROM base WHERE extractor <> '{_TRUSTED}' GROUP BY paper_id, nm"))
+@query(_pairs_sql(_SQ, "nm", "CASE WHEN p.nm = g.nm THEN 1 ELSE 3 END", "contains(p.nm, g.nm) OR (p.nm <> '' AND contains(g.nm, p.nm))", f"SELECT paper_id, arg_max(record_id, o) AS pred_id, nm, min(o) AS p_ord FROM base WHERE extractor <> '{TRUSTED}' GROUP BY paper_id, nm"))
 def jn3_finetune_pairs(spark, sf):
     return E.pair_greedily(E.pair_edges(*_sides(spark, sf), profile="finetune"))
 
@@ -81,10 +81,10 @@ def _runs_sql(profile: str = "strict") -> str:
         "relaxed": (_NM, "nm", "contains(p.nm, g.nm)", "CASE WHEN p.nm = g.nm THEN 1 ELSE 3 END"),
         "finetune": (_SQ, "nm", "contains(p.nm, g.nm) OR (p.nm <> '' AND contains(g.nm, p.nm))", "CASE WHEN p.nm = g.nm THEN 1 ELSE 3 END"),
     }[profile]
-    preds = _SQ_EACH.format(t=_TRUSTED) if profile == "finetune" else f"SELECT paper_id, extractor, record_id AS pred_id, nm, o AS p_ord, {form} AS soft FROM base WHERE extractor <> '{_TRUSTED}'"
+    preds = _SQ_EACH.format(t=TRUSTED) if profile == "finetune" else f"SELECT paper_id, extractor, record_id AS pred_id, nm, o AS p_ord, {form} AS soft FROM base WHERE extractor <> '{TRUSTED}'"
     free = "NOT list_contains(w.used, e.gold_name) AND w.last IS DISTINCT FROM e.pred_id"
     return f"""RECURSIVE {S.RECS}, base AS (SELECT *, {nm} AS nm, {_ROW} AS o FROM recs WHERE paper_id IS NOT NULL AND extractor IS NOT NULL),
-g AS (SELECT paper_id, nm, arg_max(record_id, o) AS gold_id, min(o) AS g_ord, {form} AS soft FROM base WHERE extractor = '{_TRUSTED}' AND nm <> '' GROUP BY paper_id, nm), p AS ({preds}),
+g AS (SELECT paper_id, nm, arg_max(record_id, o) AS gold_id, min(o) AS g_ord, {form} AS soft FROM base WHERE extractor = '{TRUSTED}' AND nm <> '' GROUP BY paper_id, nm), p AS ({preds}),
 e0 AS (SELECT p.paper_id, p.extractor, p.pred_id, p.p_ord, g.gold_id, g.g_ord, g.nm AS gold_name, {tier} AS tier FROM p JOIN g ON p.paper_id = g.paper_id AND ({within})),
 e AS (SELECT *, row_number() OVER (PARTITION BY paper_id, extractor ORDER BY p_ord, tier, g_ord) AS rn FROM e0),
 w AS (SELECT paper_id, extractor, 0::BIGINT AS rn, []::VARCHAR[] AS used, NULL::BIGINT AS last, NULL::BIGINT AS pred_id, NULL::BIGINT AS gold_id FROM (SELECT DISTINCT paper_id, extractor FROM e)
@@ -102,9 +102,9 @@ def run_pairs(spark: SparkSession, sf: str, profile: str = "strict") -> DataFram
     """(paper_id, extractor, gold_id, pred_id): the reference records of a paper paired one to one with the records of each run on it."""
     r = recs(spark, sf).where("paper_id is not null and extractor is not null")
     run, o = F.to_json(F.struct("paper_id", "extractor")), F.struct("chunk_no", "pos", "record_id")
-    others = r.where(F.col("extractor") != _TRUSTED)
+    others = r.where(F.col("extractor") != TRUSTED)
     runs = others.select("paper_id", "extractor", run.alias("run")).distinct()
-    golds = r.where(F.col("extractor") == _TRUSTED).select("paper_id", "record_id", "model_name", o.alias("g_ord")).join(runs.select("paper_id", "run"), "paper_id")
+    golds = r.where(F.col("extractor") == TRUSTED).select("paper_id", "record_id", "model_name", o.alias("g_ord")).join(runs.select("paper_id", "run"), "paper_id")
     golds = golds.select(F.col("run").alias("paper_id"), F.col("record_id").alias("gold_id"), F.col("model_name").alias("name"), "g_ord")
     preds = others.select(run.alias("paper_id"), F.col("record_id").alias("pred_id"), F.col("model_name").alias("name"), o.alias("p_ord"))
     found = E.pair_greedily(E.pair_edges(cut(golds), cut(preds), profile)).withColumnRenamed("paper_id", "run")
@@ -275,7 +275,7 @@ def a13_paired_metrics(spark, sf):
 
 def _all_runs(spark, sf):
     """(extractor, n_papers): every extractor but the reference with the papers that it has records of."""
-    r = recs(spark, sf).where("paper_id is not null and extractor is not null").where(F.col("extractor") != _TRUSTED)
+    r = recs(spark, sf).where("paper_id is not null and extractor is not null").where(F.col("extractor") != TRUSTED)
     return r.select("extractor", "paper_id").distinct().groupBy("extractor").agg(F.count("*").alias("n_papers"))
 
 
@@ -284,7 +284,7 @@ def _by_extractor(spark, sf, counted):
     return E.scores(_all_runs(spark, sf).join(counted, "extractor", "left").na.fill(0))
 
 
-_RUNS_SQL = f"runs AS (SELECT extractor, count(DISTINCT paper_id) AS n_papers FROM recs WHERE paper_id IS NOT NULL AND extractor <> '{_TRUSTED}' GROUP BY 1)"
+_RUNS_SQL = f"runs AS (SELECT extractor, count(DISTINCT paper_id) AS n_papers FROM recs WHERE paper_id IS NOT NULL AND extractor <> '{TRUSTED}' GROUP BY 1)"
 _OF_RUNS = f"{_RUNS_SQL}, c0 AS (SELECT extractor, {_counts(False)}, {_OPEN} FROM res GROUP BY 1), c AS (SELECT extractor, n_papers, coalesce(tp, 0) AS tp, coalesce(fp, 0) AS fp, coalesce(fn, 0) AS fn, coalesce(tn, 0) AS tn, coalesce(n_open, 0) AS n_open FROM runs LEFT JOIN c0 USING (extractor))"
 
 
@@ -336,7 +336,7 @@ def a24_side_by_side(spark, sf):
 
 # evaluation of whole runs -------------------------------------------------------------------------------------------------
 
-_SIDES_SQL = f"""gs AS (SELECT paper_id, record_id, nm FROM base WHERE extractor = '{_TRUSTED}'), ps AS (SELECT paper_id, extractor, record_id FROM base WHERE extractor <> '{_TRUSTED}'), rs AS (SELECT DISTINCT paper_id, extractor FROM ps),
+_SIDES_SQL = f"""gs AS (SELECT paper_id, record_id, nm FROM base WHERE extractor = '{TRUSTED}'), ps AS (SELECT paper_id, extractor, record_id FROM base WHERE extractor <> '{TRUSTED}'), rs AS (SELECT DISTINCT paper_id, extractor FROM ps),
 taken AS (SELECT pr.paper_id, pr.extractor, b.nm FROM pr JOIN base b ON b.record_id = pr.gold_id), miss AS (SELECT rs.paper_id, rs.extractor, gs.record_id AS gold_id, gs.nm FROM rs JOIN gs USING (paper_id) LEFT JOIN taken t ON t.paper_id = rs.paper_id AND t.extractor = rs.extractor AND t.nm = gs.nm WHERE t.nm IS NULL),
 left_ AS (SELECT ps.* FROM ps LEFT JOIN pr ON pr.pred_id = ps.record_id WHERE pr.pred_id IS NULL)"""
 
@@ -344,14 +344,14 @@ left_ AS (SELECT ps.* FROM ps LEFT JOIN pr ON pr.pred_id = ps.record_id WHERE pr
 def _missing(spark, sf, pairs):
     """(paper_id, extractor, gold_id, name): reference records of a run whose name no pair of the run has."""
     r = recs(spark, sf).where("paper_id is not null and extractor is not null").withColumn("nm", F.lower(E.trim_all(F.coalesce("model_name", F.lit("")))))
-    runs = r.where(F.col("extractor") != _TRUSTED).select("paper_id", "extractor").distinct()
-    golds = r.where(F.col("extractor") == _TRUSTED).select("paper_id", F.col("record_id").alias("gold_id"), "nm")
+    runs = r.where(F.col("extractor") != TRUSTED).select("paper_id", "extractor").distinct()
+    golds = r.where(F.col("extractor") == TRUSTED).select("paper_id", F.col("record_id").alias("gold_id"), "nm")
     taken = pairs.select("paper_id", "extractor", "gold_id").join(golds.select("gold_id", "nm"), "gold_id").select("paper_id", "extractor", "nm").distinct()
     return runs.join(golds, "paper_id").join(taken, ["paper_id", "extractor", "nm"], "left_anti").select("paper_id", "extractor", "gold_id", F.col("nm").alias("name"))
 
 
 def _unmatched(spark, sf, pairs):
-    r = recs(spark, sf).where("paper_id is not null and extractor is not null").where(F.col("extractor") != _TRUSTED)
+    r = recs(spark, sf).where("paper_id is not null and extractor is not null").where(F.col("extractor") != TRUSTED)
     return r.select("paper_id", "extractor", F.col("record_id").alias("pred_id"), "model_name").join(pairs.select("pred_id"), "pred_id", "left_anti")
 
 
@@ -393,8 +393,8 @@ def _summary(spark, sf, pairs):
     keys = ["paper_id", "extractor"]
     r = recs(spark, sf).where("paper_id is not null and extractor is not null")
     n = lambda df, name: df.groupBy(*keys).agg(F.count("*").alias(name))
-    out = n(r.where(F.col("extractor") != _TRUSTED), "n_pred")
-    golds = r.where(F.col("extractor") == _TRUSTED).groupBy("paper_id").agg(F.count("*").alias("n_gold"))
+    out = n(r.where(F.col("extractor") != TRUSTED), "n_pred")
+    golds = r.where(F.col("extractor") == TRUSTED).groupBy("paper_id").agg(F.count("*").alias("n_gold"))
     out = out.join(golds, "paper_id", "left")
     for df, name in ((pairs, "n_matched"), (_unmatched(spark, sf, pairs), "n_unmatched"), (_missing(spark, sf, pairs), "n_missing")):
         out = out.join(n(df, name), keys, "left")

@@ -124,17 +124,9 @@ def f6_select_primary(spark, sf):
     return R.select_primary(recs(spark, sf)).select("record_id", "paper_id", "is_primary")
 
 
-_BASE_FIELDS = ["model_name", "model_family", "model_version", "parameters", "parameters_millions", "organization", "innovation", "license", "optimizer", "hardware_used", "pretraining_task", "application"]
-
-
-@query(f"""WITH {S.RECS} SELECT record_id, regexp_matches({_LN}, '{"|".join(R.BASELINE)}') OR ({" + ".join(f"CAST(coalesce({S.strip(f'CAST({c} AS VARCHAR)')}, '') <> '' AS INT)" for c in _BASE_FIELDS)}) < 5 AS is_baseline FROM recs""")
-def f7_baseline(spark, sf):
-    return recs(spark, sf).select("record_id", R.is_baseline(_BASE_FIELDS).alias("is_baseline"))
-
-
 @query(f"""WITH {S.RECS} SELECT record_id, regexp_matches({_LN}, '{"|".join(R.BASELINE)}') OR ({" + ".join(f"CAST(coalesce({S.strip(f'CAST({c} AS VARCHAR)')}, '') <> '' AS INT)" for c in R.RECORD_FIELDS)}) < 5 AS is_baseline FROM recs""")
 def f7_baseline_record(spark, sf):
-    """A baseline by its name or by fewer than five filled fields of the whole record (F7); f7_baseline counts 12 of the 20."""
+    """A baseline by its name or by fewer than five filled fields of the whole record."""
     return recs(spark, sf).select("record_id", R.is_baseline(R.RECORD_FIELDS).alias("is_baseline"))
 
 
@@ -159,17 +151,22 @@ def f16_verify_gold(spark, sf):
     return gold(spark, sf).agg(F.count("*").alias("n_gold"), F.count_distinct(t).alias("n_titles"), F.count_if(t.isNull() | (F.length(F.trim(t)) < 10)).alias("n_invalid"))
 
 
-@query(f"""WITH {S.RECS}, done AS (SELECT DISTINCT paper_id FROM llm_properties), todo AS (SELECT DISTINCT paper_id FROM recs WHERE paper_id NOT IN (SELECT paper_id FROM done WHERE paper_id IS NOT NULL) AND paper_id IS NOT NULL)
-SELECT paper_id FROM todo ORDER BY paper_id LIMIT 100 OFFSET 5""")
+@query(f"""WITH {S.PAPERS}, done AS (SELECT DISTINCT split_part(split_part(file_name, '_', 1), 'v', 1) AS pre FROM extraction_files WHERE coalesce(json_array_length(payload::JSON->'extraction_data'), 0) + coalesce(json_array_length(payload::JSON->'raw_extraction'), 0) > 0)
+SELECT paper_id FROM (SELECT DISTINCT paper_id FROM pap WHERE arxiv_id IS NOT NULL AND split_part(arxiv_id, 'v', 1) NOT IN (SELECT pre FROM done)) ORDER BY paper_id LIMIT 100 OFFSET 5""")
 def f13_batch(spark, sf):
-    """The next batch of papers that have no result yet: offset and limit are the feature."""
-    todo = recs(spark, sf).select("paper_id").where(F.col("paper_id").isNotNull()).distinct().join(load(spark, sf, "llm_properties").select("paper_id"), "paper_id", "left_anti")
+    """The next batch of papers that no file has records of yet: offset and limit are the feature."""
+    from recordloom.plans.documents import files
+
+    base = lambda c: F.split_part(c, F.lit("v"), F.lit(1))
+    v = F.try_parse_json("payload")
+    n = sum((F.greatest(F.coalesce(F.size(F.try_variant_get(v, f"$.{k}", "array<variant>")), F.lit(0)), F.lit(0)) for k in ("extraction_data", "raw_extraction")), F.lit(0))
+    done = files(spark, sf).where(n > 0).select(base(F.split_part("file_name", F.lit("_"), F.lit(1))).alias("pre"))
+    todo = papers(spark, sf).where("arxiv_id is not null").select("paper_id", base(F.col("arxiv_id")).alias("pre")).join(done, "pre", "left_anti").select("paper_id").distinct()
     return todo.orderBy("paper_id").offset(5).limit(100)
 
 
 # grouping -----------------------------------------------------------------------------------------------------------------
 
-_DF = ["model_family", "organization", "innovation", "parameters", "license", "pretraining_task"]
 _O = "{'a': chunk_no, 'b': pos, 'c': record_id}"
 _SPEC = rf"""(2 * CAST({_LF} <> '' AND contains({_LN}, {_LF}) AS INT) + 3 * CAST({_LF} <> '' AND contains({_LN}, {_LF} || '-') AND regexp_matches(substr(list_last(string_split({_LN}, {_LF} || '-')), 1, 4), '\d') AS INT)
   + 2 * CAST(regexp_matches({_LN}, '\d+(?:\.\d+)?(?:\s|$)') AS INT) + CAST(regexp_matches({_LN}, '\d') AND regexp_matches({_LN}, '[mbk]') AS INT))"""
@@ -181,22 +178,6 @@ def _gap(f: str) -> str:
     return f"({f} IS NULL OR lower({S.strip(f)}) IN ('', 'null', 'none'))"
 
 
-@query(f"""WITH {S.RECS}, g AS (SELECT *, {_NAM} AS nm FROM recs WHERE {_GATE}), v AS (SELECT *, coalesce({S.version('nm')}, '') AS ver, {_FAM} AS fam, {_PAR} AS par, {{'n': -{_SPEC}, 'a': chunk_no, 'b': pos, 'c': record_id}} AS rk FROM g),
-k AS (SELECT *, CASE WHEN fam <> '' AND (ver <> '' OR par <> '' OR parameters_millions IS NOT NULL) THEN fam ELSE nm END AS k1, CASE WHEN fam <> '' AND ver <> '' THEN ver WHEN fam <> '' AND (par <> '' OR parameters_millions IS NOT NULL) THEN '' ELSE coalesce(model_version, '') END AS k2,
-  CASE WHEN fam <> '' AND (ver <> '' OR par <> '' OR parameters_millions IS NOT NULL) THEN {_SZ} ELSE coalesce(parameters, '') END AS k3 FROM v)
-SELECT paper_id, count(*) AS n, arg_min(record_id, rk) AS record_id, arg_min(model_name, rk) AS model_name, {", ".join(f"coalesce(arg_min({f}, rk) FILTER (WHERE NOT {_gap(f)}), arg_max({f}, rk) FILTER (WHERE {f} IS NOT NULL)) AS {f}" for f in _DF)} FROM k GROUP BY paper_id, k1, k2, k3""")
-def a1_dedup_chunks(spark, sf):
-    """Records of a paper's chunks that are one, the most specific kept and filled from the others (A1, A2)."""
-    return R.dedup_chunks(recs(spark, sf), _DF)
-
-
-@query(f"""WITH {S.RECS} SELECT paper_id, model_name, model_version, parameters, count(*) AS n, arg_min(record_id, {_O}) AS record_id, {", ".join(f"arg_min({f}, {_O}) FILTER (WHERE {f} IS NOT NULL) AS {f}" for f in ["model_family", "organization", "license", "optimizer"])} FROM recs GROUP BY 1, 2, 3, 4""")
-def a3_dedup_exact(spark, sf):
-    """Records equal in name, version and size: the first, its NULLs filled from later ones."""
-    pick = [F.min_by(f, F.when(F.col(f).isNotNull(), R.order())).alias(f) for f in ("model_family", "organization", "license", "optimizer")]
-    return recs(spark, sf).groupBy("paper_id", "model_name", "model_version", "parameters").agg(F.count("*").alias("n"), F.min_by("record_id", R.order()).alias("record_id"), *pick)
-
-
 @query(f"""WITH {S.PROPS} SELECT paper_id, {", ".join(f"coalesce(arg_min({f}, {{'a': chunk_no, 'b': pos, 'c': prop_id}}) FILTER (WHERE {f} <> ''), '') AS {f}" for f in ["model_name", "model_family", "organization", "license", "optimizer", "application"])} FROM props GROUP BY 1""")
 def a4_first_of_chunks(spark, sf):
     """For each field of a paper the first value over its chunks that is not empty (A4)."""
@@ -205,9 +186,6 @@ def a4_first_of_chunks(spark, sf):
     return props(spark, sf).groupBy("paper_id").agg(*first)
 
 
-_MF = ["model_family", "organization", "innovation", "pretraining_task", "extension", "license", "application", "blog_post"]
-
-
 def _merge_sql(f: str) -> str:
     ok = f"NOT {S.missing3(f)}"
     if f in R.LONGEST_FIELDS:
@@ -224,38 +202,23 @@ absorbed AS (SELECT g.paper_id, g.canonical, t.target FROM gv g JOIN tgt t USING
 keyed AS (SELECT c.*, coalesce(a.target, c.canonical) AS merged_into FROM canon c LEFT JOIN absorbed a USING (paper_id, canonical))"""
 
 
-@query(f"""WITH {_MERGED} SELECT paper_id, merged_into AS model_name, count(*) AS n_variants,
-  nullif(array_to_string(list_transform(list_sort(list_transform(list(DISTINCT {S.size_norm('parameters')}) FILTER (WHERE {S.size_norm('parameters')} IS NOT NULL), lambda s: {{'k': {S.size_key('s')}, 's': s}})), lambda x: x.s), ', '), '') AS parameters, max(parameters_millions) AS parameters_millions, {", ".join(map(_merge_sql, _MF))} FROM keyed GROUP BY 1, 2""")
-def a5_merge_variants(spark, sf):
-    """Sizes and variants of one release merged to one record, bare families absorbed."""
-    return R.merge_variants(recs(spark, sf), _MF)
-
-
 @query(f"""WITH {_MERGED} SELECT DISTINCT paper_id, canonical, merged_into FROM keyed""")
 def a6_absorbed(spark, sf):
     return R.merge_keys(recs(spark, sf)).select("paper_id", "canonical", "merged_into").distinct()
 
 
 @query(f"""WITH {_MERGED}, before AS (SELECT DISTINCT {_LF} AS family, {S.version('model_name')} AS ver FROM gated WHERE {_LF} <> ''), after AS (SELECT DISTINCT lower(regexp_extract(merged_into, '^([A-Za-z][\\w-]*)', 1)) AS family, {S.version('merged_into')} AS ver FROM keyed)
-SELECT family, ver AS version FROM before WHERE ver IS NOT NULL EXCEPT SELECT family, ver FROM after WHERE ver IS NOT NULL""")
+SELECT family, count(*) AS n_before, count(after.ver) AS n_after, array_to_string(list_sort(coalesce(list(before.ver) FILTER (WHERE after.ver IS NULL), [])), ', ') AS lost FROM before LEFT JOIN after USING (family, ver) WHERE before.ver IS NOT NULL GROUP BY 1""")
 def a10_lost_versions(spark, sf):
-    """Versions of a family that no merged name states any more."""
+    """Versions of each family before merging, how many of them a merged name still states, and which are lost."""
     r = recs(spark, sf).where(R.passes_gate()).withColumn("model_name", N.spaced(F.col("model_name")))
     before = r.select(R.low("model_family").alias("family"), N.version_token(F.col("model_name")).alias("version")).where("family != '' and version is not null").distinct()
     after = R.merge_keys(recs(spark, sf)).select(F.lower(F.regexp_extract("merged_into", r"^([A-Za-z][\w-]*)", 1)).alias("family"), N.version_token(F.col("merged_into")).alias("version")).where("version is not null").distinct()
-    return before.exceptAll(after)
+    both = before.join(after.withColumn("kept", F.lit(True)), ["family", "version"], "left")
+    lost = F.array_join(F.array_sort(F.collect_list(F.when(F.col("kept").isNull(), F.col("version")))), ", ")
+    return both.groupBy("family").agg(F.count("*").alias("n_before"), F.count("kept").alias("n_after"), lost.alias("lost"))
 
 
-@query(f"""WITH {S.RECS} SELECT concat_ws(' ', model_name, nullif(model_version, ''), nullif(parameters, '')) AS label, count(*) AS n, {", ".join(f"arg_min({f}, {{'p': paper_id, 'a': chunk_no, 'b': pos, 'c': record_id}}) FILTER (WHERE {f} IS NOT NULL) AS {f}" for f in ["model_family", "organization", "license"])} FROM recs GROUP BY 1""")
-def a11_merge_labels(spark, sf):
-    """Comparison entries of one label merged, NULLs filled from later ones."""
-    label = F.concat_ws(" ", "model_name", F.nullif("model_version", F.lit("")), F.nullif("parameters", F.lit("")))
-    o = F.struct("paper_id", *R.ORDER)
-    return recs(spark, sf).groupBy(label.alias("label")).agg(F.count("*").alias("n"), *[F.min_by(f, F.when(F.col(f).isNotNull(), o)).alias(f) for f in ("model_family", "organization", "license")])
-
-
-# The same merges over every field of a record; those above fill some.
-
 _WHOLE = [f for f in R.RECORD_FIELDS if f != "model_name"]
 
 
@@ -272,13 +235,13 @@ k AS (SELECT *, CASE WHEN fam <> '' AND (ver <> '' OR par <> '' OR parameters_mi
   CASE WHEN fam <> '' AND (ver <> '' OR par <> '' OR parameters_millions IS NOT NULL) THEN {_SZ} ELSE coalesce(parameters, '') END AS k3 FROM v)
 SELECT paper_id, count(*) AS n, arg_min(record_id, rk) AS record_id, arg_min(model_name, rk) AS model_name, {", ".join(f"coalesce(arg_min({f}, rk) FILTER (WHERE NOT {_gap_text(f)}), arg_max({f}, rk) FILTER (WHERE {f} IS NOT NULL)) AS {f}" for f in _WHOLE)} FROM k GROUP BY paper_id, k1, k2, k3""")
 def a1_dedup_records(spark, sf):
-    """a1_dedup_chunks with every field of the kept record filled (A1, A2)."""
+    """Records of a paper's chunks that are one, the most specific kept and every field filled from the others (A1, A2)."""
     return R.dedup_chunks(recs(spark, sf), _WHOLE)
 
 
 @query(f"""WITH {S.RECS} SELECT paper_id, model_name, model_version, parameters, count(*) AS n, arg_min(record_id, {_O}) AS record_id, {_firsts(R.RECORD_FIELDS[3:], _O)} FROM recs GROUP BY 1, 2, 3, 4""")
 def a3_dedup_records(spark, sf):
-    """a3_dedup_exact with every field of the first record filled (A3)."""
+    """Records equal in name, version and size: the first, the NULLs of every field filled from later ones (A3)."""
     pick = [F.min_by(f, F.when(F.col(f).isNotNull(), R.order())).alias(f) for f in R.RECORD_FIELDS[3:]]
     return recs(spark, sf).groupBy("paper_id", "model_name", "model_version", "parameters").agg(F.count("*").alias("n"), F.min_by("record_id", R.order()).alias("record_id"), *pick)
 
@@ -286,13 +249,13 @@ def a3_dedup_records(spark, sf):
 @query(f"""WITH {_MERGED} SELECT paper_id, merged_into AS model_name, count(*) AS n_variants,
   nullif(array_to_string(list_transform(list_sort(list_transform(list(DISTINCT {S.size_norm('parameters')}) FILTER (WHERE {S.size_norm('parameters')} IS NOT NULL), lambda s: {{'k': {S.size_key('s')}, 's': s}})), lambda x: x.s), ', '), '') AS parameters, max(parameters_millions) AS parameters_millions, {", ".join(map(_merge_sql, R.MERGED_FIELDS))} FROM keyed GROUP BY 1, 2""")
 def a5_merge_records(spark, sf):
-    """a5_merge_variants with all 16 merged fields."""
+    """Sizes and variants of one release merged to one record, bare families absorbed."""
     return R.merge_variants(recs(spark, sf))
 
 
 @query(f"""WITH {S.RECS} SELECT concat_ws(' ', model_name, nullif(model_version, ''), nullif(parameters, '')) AS label, count(*) AS n, {_firsts(R.RECORD_FIELDS, "{'p': paper_id, 'a': chunk_no, 'b': pos, 'c': record_id}")} FROM recs GROUP BY 1""")
 def a11_merge_records(spark, sf):
-    """a11_merge_labels with every field of an entry filled."""
+    """Comparison entries of one label merged, the NULLs of every field filled from later ones."""
     label = F.concat_ws(" ", "model_name", F.nullif("model_version", F.lit("")), F.nullif("parameters", F.lit("")))
     o = F.struct("paper_id", *R.ORDER)
     return recs(spark, sf).groupBy(label.alias("label")).agg(F.count("*").alias("n"), *[F.min_by(f, F.when(F.col(f).isNotNull(), o)).alias(f) for f in R.RECORD_FIELDS])
@@ -323,15 +286,25 @@ def a21_titles(spark, sf):
     return gold(spark, sf).select("paper_title").where(F.col("paper_title").isNotNull()).distinct()
 
 
-@query("SELECT count(*) AS n_models, max(model_name) AS last_label FROM gold_models")
+@query("SELECT paper_id, count(*) AS n_models, list(model_name ORDER BY gold_id) FILTER (WHERE model_name IS NOT NULL) AS labels FROM gold_models GROUP BY 1")
 def a23_summary(spark, sf):
-    return gold(spark, sf).agg(F.count("*").alias("n_models"), F.max("model_name").alias("last_label"))
+    """How many contributions the comparison of a paper has, and their labels in order."""
+    labels = F.transform(F.array_sort(F.collect_list(F.struct("gold_id", "model_name"))), lambda x: x["model_name"])
+    return gold(spark, sf).groupBy("paper_id").agg(F.count("*").alias("n_models"), F.array_compact(labels).alias("labels"))
 
 
-@query(f"""WITH {S.RECS} SELECT paper_id, list_sort(list(DISTINCT chunk_no)) AS chunks, count(*) AS n_records FROM recs GROUP BY 1""")
+@query(f"""WITH {S.RECS} SELECT paper_id, record_id, row_number() OVER (PARTITION BY paper_id ORDER BY chunk_no, pos, record_id) AS place FROM recs WHERE paper_id IS NOT NULL AND chunk_no IS NOT NULL""")
 def u1_chunk_union(spark, sf):
-    """Records of all chunks of a paper as one list."""
-    return recs(spark, sf).groupBy("paper_id").agg(F.array_sort(F.collect_set("chunk_no")).alias("chunks"), F.count("*").alias("n_records"))
+    """The records of all chunks of a paper as one list, in the order of the chunks.
+
+    Chunks are counted first, so that a paper with a tenth of the records is numbered chunk by chunk.
+    """
+    r = recs(spark, sf).where("paper_id is not null and chunk_no is not null").select("paper_id", "chunk_no", "pos", "record_id")
+    n = r.groupBy("paper_id", "chunk_no").agg(F.count("*").alias("n"))
+    w = Window.partitionBy("paper_id").orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, -1)
+    before = n.select("paper_id", "chunk_no", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"))
+    inside = r.withColumn("rn", F.row_number().over(Window.partitionBy("paper_id", "chunk_no").orderBy("pos", "record_id")))
+    return inside.join(before, ["paper_id", "chunk_no"]).select("paper_id", "record_id", (F.col("before") + F.col("rn")).alias("place"))
 
 
 # scores -------------------------------------------------------------------------------------------------------------------
@@ -360,4 +333,7 @@ def r2_top_models(spark, sf):
 @query("""SELECT paper_id, list_sort(list(model_name))[1:15] AS kept, greatest(count(*) - 15, 0) AS dropped FROM gold_models GROUP BY 1""")
 def r7_cap(spark, sf):
     """Fifteen contributions of a paper at most: the cap is the feature."""
-    return gold(spark, sf).groupBy("paper_id").agg(F.slice(F.array_sort(F.collect_list("model_name")), 1, 15).alias("kept"), F.greatest(F.count("*") - 15, F.lit(0)).cast("bigint").alias("dropped"))
+    w = Window.partitionBy("paper_id").orderBy("model_name")
+    kept = gold(spark, sf).where("model_name is not null").withColumn("rn", F.row_number().over(w)).where("rn <= 15").groupBy("paper_id").agg(F.array_sort(F.collect_list("model_name")).alias("kept"))
+    n = gold(spark, sf).groupBy("paper_id").agg(F.greatest(F.count("*") - 15, F.lit(0)).cast("bigint").alias("dropped"))
+    return n.join(kept, "paper_id", "left")

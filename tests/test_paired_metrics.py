@@ -7,7 +7,7 @@ import pytest
 from recordloom.operators import evaluate as E
 from recordloom.plans import metrics as P
 
-REF = P._TRUSTED
+REF = P.TRUSTED
 ROWS = [
     (1, REF, {"model_name": "Foo-1", "license": "MIT", "innovation": "a new way to train models well", "parameters": "1B, 7B", "parameters_millions": 7, "date_created": "2020-05"}),
     (2, REF, {"model_name": "Bar", "license": "MIT", "research_problem": "translation", "organization": "Meta AI"}),
