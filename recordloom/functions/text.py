@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.missing import trim_all
@@ -62,6 +65,38 @@ def chunk_spans(c: Column, size: int, overlap: int, look: int = 200) -> Column:
     return F.when(n <= size, F.array(F.struct(F.lit(0).alias("start"), n.alias("stop")))).otherwise(many)
 
 
+def chunked(df: DataFrame, column: str, size: int, overlap: int, look: int = 200) -> DataFrame:
+    """df without the column, once for each chunk of it, with chunk_no, start_pos and chunk: the pieces of chunk_spans.
+
+    A text is cut in one pass where it lies; nothing but its pieces leaves the task, however many there are. NULL gives no row.
+    """
+    if size - look + 1 <= overlap:
+        raise ValueError("overlap too large: a chunk could start where the last one did")
+    kept = [c for c in df.columns if c != column]
+
+    def cuts(text: str) -> Iterator[tuple[int, int]]:
+        n, start = len(text), 0
+        if n <= size:
+            yield 0, n
+            return
+        while start < n:
+            stop, near = start + size, start + size - look
+            end = text.rfind(". ", near, near + look) + 1 if stop < n else 0
+            stop = end or stop
+            yield start, min(stop, n)
+            start = stop - overlap
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for text, *row in pdf[[column, *kept]].itertuples(index=False, name=None):
+                if text is not None:
+                    rows = [(*row, k, a, text[a:b]) for k, (a, b) in enumerate(cuts(text))]
+                    yield pd.DataFrame(rows, columns=[*kept, "chunk_no", "start_pos", "chunk"])
+
+    types = dict(df.dtypes)
+    return df.mapInPandas(run, ", ".join([*(f"`{c}` {types[c]}" for c in kept), "chunk_no int", "start_pos int", "chunk string"]))
+
+
 def table_markdown(t: Column) -> Column:
     """Markdown of an array of rows: short rows padded, NULL cells empty, pipes escaped; a lone header has no separator line."""
     columns = F.array_max(F.transform(t, lambda r: F.size(r)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordloom.functions.text import chunk_spans, squash
+from recordloom.functions.text import chunked, squash
 from recordloom.missing import trim_all
 from recordloom.operators.evaluate import FIELDS
 
@@ -32,8 +32,7 @@ def instances(golds: DataFrame, documents: DataFrame, size: int = 8_000, overlap
     target is JSON of all fields, those that the chunk does not mention empty. Pairs with fewer than `least` fields are left out.
     """
     d = documents.where(F.col("text").isNotNull() & F.col("paper_id").isNotNull()).select("paper_id", "doc_id", "text")
-    chunks = d.select("paper_id", "doc_id", "text", F.posexplode(chunk_spans(F.col("text"), size, overlap)).alias("chunk_no", "s"))
-    chunks = chunks.select("paper_id", "doc_id", "chunk_no", squash(F.substring(F.col("text"), F.col("s.start") + 1, F.col("s.stop") - F.col("s.start"))).alias("chunk"))
+    chunks = chunked(d, "text", size, overlap).select("paper_id", "doc_id", "chunk_no", squash(F.col("chunk")).alias("chunk"))
     x = golds.select("gold_id", "paper_id", *FIELDS).join(chunks, "paper_id")
     hits = {f: stands_in(f, F.col(f), F.col("chunk")) for f in FIELDS}
     x = x.withColumn("hits", F.array(*[F.when(h, F.lit(f)) for f, h in hits.items()]))

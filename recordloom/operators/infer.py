@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.functions.text import chunk_spans, clean_text
+from recordloom.functions.text import chunked, clean_text
 from recordloom.operators import answers, records
 from recordloom.session import cut
 
@@ -67,8 +67,7 @@ def extract(chunks: DataFrame, column: str, client: Callable[[str], str] = stub_
 def pipeline(documents: DataFrame, client: Callable[[str], str] = stub_client, size: int = 6_000, overlap: int = 500) -> DataFrame:
     """(paper_id, model_name, parameters, n_variants): the releases that the texts of each paper describe."""
     text = documents.where(F.col("text").isNotNull()).select("paper_id", "doc_id", clean_text(F.col("text")).alias("text"))
-    chunks = text.select("paper_id", "doc_id", "text", F.posexplode(chunk_spans(F.col("text"), size, overlap)).alias("chunk_no", "s"))
-    chunks = chunks.select("paper_id", "doc_id", "chunk_no", F.substring(F.col("text"), F.col("s.start") + 1, F.col("s.stop") - F.col("s.start")).alias("chunk"))
+    chunks = chunked(text, "text", size, overlap)
     said = extract(chunks, "chunk", client).select("paper_id", "doc_id", "chunk_no", F.try_parse_json(answers.isolate(F.col("answer"))).alias("v"))
     each = said.select("paper_id", "doc_id", "chunk_no", F.posexplode(F.try_variant_get("v", "$.models", "array<variant>")).alias("pos", "m"))
     fields = ["model_name", "model_family", "parameters", "organization", "license"]

@@ -156,9 +156,7 @@ UNION ALL SELECT doc_id, 0, 0, md5('') FROM documents WHERE text = ''""")
 def t6_chunks(spark, sf):
     """Overlapping chunks that end after a sentence where one ends near."""
     d = load(spark, sf, "documents").where(F.col("text").isNotNull())
-    c = d.select("doc_id", "text", F.posexplode(X.chunk_spans(F.col("text"), 1_500, 100)).alias("chunk_no", "s"))
-    piece = F.substring(F.col("text"), F.col("s.start") + 1, F.col("s.stop") - F.col("s.start"))
-    return c.select("doc_id", "chunk_no", F.col("s.start").alias("start_pos"), F.md5(piece).alias("chunk_md5"))
+    return X.chunked(d.select("doc_id", "text"), "text", 1_500, 100).select("doc_id", "chunk_no", "start_pos", F.md5("chunk").alias("chunk_md5"))
 
 
 @query(rf"""SELECT doc_id, {S.strip(r"nullif(regexp_extract(text, '^([^\n]+)\n', 1), '')")} AS title, nullif(regexp_extract(substr(text, 1, 1000), '(?:^|[^\p{{L}}\p{{N}}_])(20\d{{2}})(?:$|[^\p{{L}}\p{{N}}_])', 1), '') AS year,

@@ -1,5 +1,7 @@
 """Edge rows of the column functions, expectations derived by hand."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +124,14 @@ def test_repair_leaves_valid_json_and_gives_up():
 
 def test_balance():
     assert J.balance('{"a": ["}"') == '{"a": ["}"]}'
+
+
+def test_chunks_are_the_pieces_of_the_spans(spark):
+    rng = random.Random(4)
+    texts = ["", "short. text", *["".join(rng.choice("ab. é語") for _ in range(n)) for n in (299, 300, 301, 900, 5_000)]]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate([*texts, None])], "doc_id int, text string, chunk_ string")
+    got = {(r.doc_id, r.chunk_no): (r.start_pos, r.chunk, r.chunk_) for r in X.chunked(df, "text", 300, 50).collect()}
+    want = {}
+    for r in df.where("text is not null").select("doc_id", "text", X.chunk_spans(F.col("text"), 300, 50).alias("s")).collect():
+        want |= {(r.doc_id, k): (s.start, r.text[s.start : s.stop], "x") for k, s in enumerate(r.s)}
+    assert got == want and len(got) > 20
