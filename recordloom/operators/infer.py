@@ -52,6 +52,30 @@ def with_retries(client: Callable[[str], str], attempts: int = 5, delay: float =
     return call
 
 
+#: Characters of a prompt that a local model of 32,768 tokens takes, at three characters a token at least.
+LOCAL_PROMPT = 98_304
+
+
+def local_client(model: Callable[[str, float], str], limit: int = LOCAL_PROMPT, temperature: float = 0.1, fallback: Callable[[str, float], str] | None = None) -> Callable[[str], str]:
+    """A client of a model on the machine: prompts cut to what it takes, halved again while it runs out of memory, then the fallback.
+
+    A prompt keeps its head; what is cut is its end. The limits are those of the model.
+    """
+
+    def call(prompt: str) -> str:
+        size = limit
+        for _ in range(3):
+            try:
+                return model(prompt[:size], temperature)
+            except MemoryError:
+                size = min(size, len(prompt)) // 2
+        if fallback is None:
+            raise MemoryError("the model has no room for any part of the prompt")
+        return fallback(prompt[:limit], temperature)
+
+    return call
+
+
 def extract(chunks: DataFrame, column: str, client: Callable[[str], str] = stub_client) -> DataFrame:
     """Adds answer: what the client says to each chunk, one client for each Python worker."""
     schema = ", ".join(f"`{n}` {t}" for n, t in chunks.dtypes) + ", answer string"
@@ -64,6 +88,17 @@ def extract(chunks: DataFrame, column: str, client: Callable[[str], str] = stub_
     return chunks.mapInPandas(run, schema)
 
 
+def raw_pipeline(documents: DataFrame, client: Callable[[str], str] = stub_client, size: int = 20_000, overlap: int = 500) -> DataFrame:
+    """(paper_id, doc_id, chunk_no, pos, model_name, model_family, parameters): what each text of a batch job says, as it was said.
+
+    The chain of a batch job: parse, cut only what is longer than a chunk, extract, save; nothing is normalised, selected or merged.
+    """
+    text = documents.where(F.col("text").isNotNull()).select("paper_id", "doc_id", "text")
+    said = extract(chunked(text, "text", size, overlap), "chunk", client).select("paper_id", "doc_id", "chunk_no", F.try_parse_json(answers.isolate(F.col("answer"))).alias("v"))
+    each = said.select("paper_id", "doc_id", "chunk_no", F.posexplode(F.try_variant_get("v", "$.models", "array<variant>")).alias("pos", "m"))
+    return each.select("paper_id", "doc_id", "chunk_no", "pos", *[F.try_variant_get("m", f"$.{f}", "string").alias(f) for f in ("model_name", "model_family", "parameters")])
+
+
 def pipeline(documents: DataFrame, client: Callable[[str], str] = stub_client, size: int = 6_000, overlap: int = 500) -> DataFrame:
     """(paper_id, model_name, parameters, n_variants): the releases that the texts of each paper describe."""
     text = documents.where(F.col("text").isNotNull()).select("paper_id", "doc_id", clean_text(F.col("text")).alias("text"))

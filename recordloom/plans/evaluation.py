@@ -278,6 +278,20 @@ def i8_pipeline(spark, sf):
     return infer.pipeline(load(spark, sf, "documents"))
 
 
+_RAW_CHUNKS = """RECURSIVE c AS (SELECT doc_id, paper_id, text, length(text) AS n, 0 AS start, 0 AS stop, -1 AS k FROM documents WHERE text IS NOT NULL
+  UNION ALL SELECT doc_id, paper_id, text, n, nxt, CASE WHEN n <= 20000 THEN n WHEN nxt + 20000 < n AND hit > 0 THEN nxt + 19800 + length(tail) - hit ELSE nxt + 20000 END, k + 1
+  FROM (SELECT *, substr(text, nxt + 19801, 200) AS tail, instr(reverse(substr(text, nxt + 19801, 200)), ' .') AS hit FROM (SELECT doc_id, paper_id, text, n, k, CASE WHEN k < 0 THEN 0 ELSE stop - 500 END AS nxt, k >= 0 AND n <= 20000 AS over FROM c) WHERE nxt < n AND NOT over)),
+s AS (SELECT doc_id, paper_id, CAST(k AS INT) AS chunk_no, list_distinct(regexp_extract_all(substr(text, start + 1, least(stop, n) - start), '([A-Z][a-z]{5,}-\\d+(?:\\.\\d+)?B)')) AS found FROM c WHERE k >= 0)"""
+
+
+@query(f"""WITH {_RAW_CHUNKS} SELECT paper_id, doc_id, chunk_no, unnest(found) AS model_name, split_part(unnest(found), '-', 1) AS model_family, split_part(unnest(found), '-', 2) AS parameters FROM s""")
+def i13_raw_pipeline(spark, sf):
+    """The chain of a batch job with a deterministic extractor in place of a model: parse, chunk, extract, nothing merged."""
+    from recordloom.operators import infer
+
+    return infer.raw_pipeline(load(spark, sf, "documents")).drop("pos")
+
+
 @query(r"""SELECT doc_id, len(list_distinct(regexp_extract_all(text, '([A-Z][a-z]{5,}-\d+(?:\.\d+)?B)'))) AS n_models FROM documents WHERE text IS NOT NULL""")
 def i1_stub_extract(spark, sf):
     """How many models the deterministic extractor finds in each document."""

@@ -67,6 +67,54 @@ def test_store_and_upload(spark, small):
     assert [(x.paper, x.label) for x in store.read_contributions(spark, m, "R").collect()] == [("T", "A")]
 
 
+def test_store_reads_changes_and_versions(spark):
+    def connect():
+        m = store.MemoryStore([{"id": "P1", "label": "name"}, {"id": "P2"}])
+        a = m.create_paper("A First Paper", [{"label": "x", "statements": {}}, {"label": "y", "statements": {}}])
+        m.papers[a]["facts"] = {"url": "u", "doi": "d", "identifiers": {"arxiv": "2401.1"}}
+        b = m.create_paper("Other work", [{"label": "z", "statements": {}}])
+        m.papers[b]["title"] = "A First Paper"  # two papers of one title: the last counts
+        m.create_paper("Third", [])
+        return m
+
+    m = connect()
+    assert [tuple(r) for r in store.read_template(spark, m, "T").collect()] == [(0, "P1", "name"), (1, "P2", None)]
+    c = store.read_contributions(spark, m, "R")
+    assert [r.paper_id for r in c.orderBy("pos").collect()] == ["R1", "R1", "R2"]
+    assert [tuple(r) for r in store.fetch_papers(c, connect).collect()] == [("A First Paper", None, None, None)]
+    assert m.publish("R", ["R1-C1", "R1-C1"], "t") == 1 and m.publish("R", ["R2-C1"], "t") == 2 and [x["id"] for x in m.contributions("R")] == ["R2-C1"]
+    asked = spark.createDataFrame([("third ",), ("paper of mine",), ("nothing",), (None,)], "title string")
+    assert {(r.title, r.paper_id, r.match) for r in store.search_titles(asked, connect).collect()} == {("third ", "R3", "exact"), ("paper of mine", "R1", "fuzzy"), ("nothing", None, None)}
+    rows = spark.createDataFrame([("R1", "x", '{"a": 1}'), ("R9", "x", "{}"), ("R1", "x", "no")], "key string, label string, statements string")
+    assert sorted(r.status for r in store.change(rows, connect).collect()) == ["done", "failed", "failed"]
+    rows = spark.createDataFrame([("R1-C1", None, '{"a": 1}'), ("R1-C9", None, "{}")], "key string, label string, statements string")
+    assert {r.key: r.status for r in store.change(rows, connect, "update").collect()} == {"R1-C1": "done", "R1-C9": "failed"}
+    assert store.status(m) == {"reachable": True} and store.status(None)["reachable"] is False
+
+
+def test_payloads_of_a_hot_paper_come_in_parts(spark):
+    st = spark.createDataFrame([("p", i, "q", 0, None, f"v{i}", None) for i in range(1_000)] + [("r", 2_000, "q", 0, None, "v", None)], "paper_id string, prop_id long, property string, ord int, reference string, value string, data_type string")
+    got = store.payloads(st, st.select("prop_id", F.concat(F.lit("L"), "prop_id").alias("label")), part=100).collect()
+    sizes = {(r.paper_id, r.part): len(json.loads(r.payload)) for r in got}
+    assert sum(sizes.values()) == 1_001 and sizes["r", 0] == 1 and len(sizes) == 11 and max(sizes.values()) < 160
+
+
+def test_local_client_cuts_and_falls_back():
+    from recordloom.operators import infer
+
+    seen = []
+
+    def model(prompt, temperature):
+        seen.append(len(prompt))
+        if len(prompt) > 30:
+            raise MemoryError
+        return f"{len(prompt)} {temperature}"
+
+    assert infer.local_client(model, limit=100)("x" * 300) == "25 0.1" and seen == [100, 50, 25]
+    assert infer.local_client(lambda p, t: model(p * 99, t), limit=100, fallback=lambda p, t: "fb")("x" * 300) == "fb"
+    assert infer.with_retries(infer.local_client(lambda p, t: model(p * 99, t)), attempts=2, delay=0, sleep=lambda s: None)("x" * 300) is None
+
+
 def test_sinks_round_trip(spark, small, tmp_path):
     r = props(spark, small).select("prop_id", "paper_id", "model_name")
     sinks.write_results(r, str(tmp_path / "r"))
