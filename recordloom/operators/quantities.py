@@ -206,12 +206,12 @@ def parse(text: str, field: str) -> tuple | None:
     return value, scale, dim
 
 
-def _whole(x: Fraction) -> int | None:
+def whole(x: Fraction) -> int | None:
     n = math.floor(x + Fraction(1, 2))
     return n if 0 <= n < 2**63 else None
 
 
-_SCALES = [Fraction(1), _K, _M, _G, _T]
+SCALES = [Fraction(1), _K, _M, _G, _T]
 _NAME_SIZE = re.compile(r"(?<![\w.])(\d+(?:\.\d+)?)[\s-]?([KkMmBbTt])(?![A-Za-z0-9])|(?<![\w.])(\d+(?:\.\d+)?)\s*(thousand|million|billion|trillion)", re.I)
 
 
@@ -276,17 +276,17 @@ def read_row(parameters: str | None, millions: int | None, corpus: str | None, c
             amount = _settle(told[0], evidence + guess, _TEXT_PREFER)
             if amount is None:
                 amount = told[0]
-        out.append(("parameters", "parameters", _whole(amount)))
+        out.append(("parameters", "parameters", whole(amount)))
         evidence.append(amount)
     if millions is not None:
         amount = _settle(Fraction(millions), evidence, _MILLIONS_PREFER)
-        out.append(("parameters_millions", "parameters", _whole(Fraction(millions) * _M if amount is None else amount)))
+        out.append(("parameters_millions", "parameters", whole(Fraction(millions) * _M if amount is None else amount)))
     if corpus is not None and (size := parse(corpus, "training_corpus_size")):
         value, scale, dim = size
         if dim is None:
             said = unit_statement(context) or (_G, "tokens")  # no unit anywhere: such columns count billions of tokens
             scale, dim = scale or said[0], said[1]
-        out.append(("training_corpus_size", dim, _whole(value * (scale or 1))))
+        out.append(("training_corpus_size", dim, whole(value * (scale or 1))))
     return [x for x in out if x[2] is not None]
 
 
@@ -313,3 +313,6 @@ def convert(df: DataFrame, key: str = "prop_id") -> DataFrame:
     bare = F.col("training_corpus_size").rlike(r"^[\s\d.,_]+[A-Za-z]*\s*$")
     rows = df.select(F.col(key), amounts(F.col("parameters"), F.col("parameters_millions"), F.col("training_corpus_size"), F.when(bare, F.col("training_data")), F.col("model_name")).alias("found"))
     return rows.select(key, F.inline("found")).distinct()
+
+#: Kept for callers of the old names.
+_whole, _SCALES = whole, SCALES

@@ -262,9 +262,17 @@ def g10_shuffled_chats(spark, sf):
     return g.join(D.rank_by_hash(g, "k"), "k").select("gold_id", "chat", F.col("rk").alias("place"))
 
 
+@query(f"""SELECT paper_id, CASE WHEN min(arxiv_id) IS NOT NULL THEN replace(min(arxiv_id), '/', '_') ELSE substr({_SLUG('min(title)')}, 1, 80) END || '_' || strftime(min(ingested_at), '%Y%m%d_%H%M%S') || '.json' AS name FROM papers GROUP BY 1""")
+def k1_result_names(spark, sf):
+    """Names of result files: id or, of a paper known by its title only, the title's slug, and the time (K1, K2)."""
+    p = load(spark, sf, "papers").groupBy("paper_id").agg(F.min("arxiv_id").alias("a"), F.min("title").alias("t"), F.min("ingested_at").alias("at"))
+    head = F.when(F.col("a").isNotNull(), F.replace("a", F.lit("/"), F.lit("_"))).otherwise(F.substring(slug(F.col("t")), 1, 80))
+    return p.select("paper_id", F.concat(head, F.lit("_"), F.date_format("at", "yyyyMMdd_HHmmss"), F.lit(".json")).alias("name"))
+
+
 @query(f"WITH {S.PAPERS}, f AS (SELECT DISTINCT * EXCLUDE (ingested_at, payload) FROM extraction_files), m AS (SELECT *, split_part(folder, '__', 1) AS model FROM f) SELECT file_id, regexp_replace(lower(model), '[^a-z0-9]+', '_', 'g') || '/' || replace(file_name, '/', '_') AS path FROM (SELECT *, row_number() OVER (PARTITION BY model, file_name ORDER BY written_at DESC, file_id) AS rn FROM m) WHERE rn = 1")
 def k3_newest_by_model(spark, sf):
-    """Where result files go: one folder for each model, of several files of one name the newest (K1, K2, K3)."""
+    """Where result files go: one folder for each model, of several files of one name the newest (K3)."""
     f = files(spark, sf).select("file_id", "file_name", "written_at", F.element_at(F.split("folder", "__"), 1).alias("model"))
     w = Window.partitionBy("model", "file_name").orderBy(F.col("written_at").desc(), "file_id")
     return f.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("file_id", F.concat_ws("/", slug(F.col("model")), F.replace("file_name", F.lit("/"), F.lit("_"))).alias("path"))

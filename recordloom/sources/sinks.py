@@ -41,3 +41,9 @@ def write_splits(instances: DataFrame, splits: DataFrame, path: str, title: str
     kept = [c for c in instances.columns if not c.startswith("_")]
     joined = instances.join(splits.withColumnRenamed(splits.columns[0], title), title)
     joined.select("split", *kept).write.mode("overwrite").partitionBy("split").json(path)
+
+
+def write_reports(evaluations: DataFrame, path: str) -> None:
+    """Evaluation reports as JSON, one object a run, in a folder for each extractor; reports of extractors written anew replace the old."""
+    whole = evaluations.withColumn("by", F.col("extractor"))
+    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("by").json(path)

@@ -168,3 +168,15 @@ def test_command_line(spark, small, tmp_path, capsys):
     assert main(["run", "nothing", small]) == 2
     assert main(["run", "s16_models", small, "--out", str(tmp_path / "o"), "--format", "json"]) == 0
     assert spark.read.json(str(tmp_path / "o")).count() == 8
+
+
+def test_command_line(spark, small, tmp_path, capsys):
+    from recordloom.__main__ import main
+
+    assert main(["list"]) == 0 and "a26_evaluation" in capsys.readouterr().out
+    assert main(["status", small]) == 0 and main(["status", str(tmp_path)]) == 1
+    assert main(["run", "no_query", small]) == 2
+    assert main(["evaluate", small, "nobody"]) == 2
+    assert main(["evaluate", small, "linnet-3b", "--out", str(tmp_path / "reports")]) in (0, 1)
+    assert main(["run", "k1_result_names", small, "--out", str(tmp_path / "names"), "--format", "json"]) == 0
+    assert spark.read.json(str(tmp_path / "reports")).where("extractor = 'linnet-3b'").count() == spark.read.json(str(tmp_path / "reports")).count() > 0
