@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from recordloom.llm.edits import canonical_stems
 from recordloom.missing import is_missing
-from recordloom.operators.quantities import _SCALES, LEAST, MOST, _whole, parse
+from recordloom.operators.quantities import LEAST, MOST, SCALES, parse, whole
 from recordloom.session import cut
 
 # Words of a model's name that name a variant of it.
@@ -38,10 +38,10 @@ def stated_size(text: pd.Series) -> pd.Series:
             continue
         value, scale, _ = got
         if scale is None:  # a bare number: the first scale that gives the size of a model
-            inside = [value * s for s in _SCALES if LEAST <= value * s <= MOST]
-            out.append(_whole(inside[0] if inside else value))
+            inside = [value * s for s in SCALES if LEAST <= value * s <= MOST]
+            out.append(whole(inside[0] if inside else value))
         else:
-            out.append(_whole(value * scale))
+            out.append(whole(value * scale))
     return pd.Series(out, dtype="Int64")
 
 
