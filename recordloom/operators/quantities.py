@@ -313,6 +313,3 @@ def convert(df: DataFrame, key: str = "prop_id") -> DataFrame:
     bare = F.col("training_corpus_size").rlike(r"^[\s\d.,_]+[A-Za-z]*\s*$")
     rows = df.select(F.col(key), amounts(F.col("parameters"), F.col("parameters_millions"), F.col("training_corpus_size"), F.when(bare, F.col("training_data")), F.col("model_name")).alias("found"))
     return rows.select(key, F.inline("found")).distinct()
-
-#: Kept for callers of the old names.
-_whole, _SCALES = whole, SCALES
