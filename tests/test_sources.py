@@ -170,7 +170,7 @@ def test_command_line(spark, small, tmp_path, capsys):
     assert spark.read.json(str(tmp_path / "o")).count() == 8
 
 
-def test_command_line(spark, small, tmp_path, capsys):
+def test_commands_end_with_codes(spark, small, tmp_path, capsys):
     from recordloom.__main__ import main
 
     assert main(["list"]) == 0 and "a26_evaluation" in capsys.readouterr().out
