@@ -34,6 +34,8 @@ SHARE = 0.5
 NAME_SHARE, NAME_TEXTS = 0.01, 2
 #: Words that may be missing or strange between two windows of a passage, in the item and in the document.
 ITEM_GAP, DOC_GAP = 14, 40
+#: Tokens of documents whose windows are hashed side by side.
+TOGETHER = 200_000
 #: Hashes of items' windows that are broadcast as a filter: 32 MB.
 MAX_KEYS = 4_000_000
 
@@ -80,16 +82,16 @@ class Typed:
         kind = NUM if w[0].isdigit() else WORD if w in self.common else UNIT if w in UNITS else WORD if _IS_LONE.match(w) else NAME
         return (xxhash.xxh3_64_intdigest(w) >> 3 << 2) | kind
 
-    def __call__(self, text: str) -> np.ndarray:
+    def list(self, text: str) -> list[int]:
         if len(self.seen) > 500_000:
             self.seen.clear()
-        seen, out = self.seen, []
-        for w in words(text):
-            t = seen.get(w)
-            if t is None:
-                t = seen[w] = self.token(w)
-            out.append(t)
-        return np.array(out, np.int64)
+        seen, found = self.seen, words(text)
+        for w in set(found).difference(seen):
+            seen[w] = self.token(w)
+        return [seen[w] for w in found]
+
+    def __call__(self, text: str) -> np.ndarray:
+        return np.array(self.list(text), np.int64)
 
 
 def template(tokens: np.ndarray, keep_names: bool = False) -> np.ndarray:
@@ -281,27 +283,42 @@ def _item_rows(common, renamed: bool):
 
 
 def _document_rows(common, filter_, sizes: list[int], renamed: bool):
+    def hits(held: list) -> list:
+        """Documents of a stretch that hold a key: their windows are hashed side by side, and those across two documents left out."""
+        ends = np.cumsum([len(t) for _, t in held])
+        tokens = np.array([x for _, t in held for x in t], np.int64)
+        wanted = None if filter_ is None else filter_.value
+        values, found = template(tokens, not renamed), []
+        for size in sizes:
+            h = window_hashes(values, size)
+            if not len(h):
+                continue
+            at = np.arange(len(h))
+            if wanted is not None:
+                near = np.searchsorted(wanted, h)
+                near[near == len(wanted)] = 0
+                at = np.flatnonzero(wanted[near] == h)
+            doc = np.searchsorted(ends, at, side="right")
+            inside = at + size <= ends[doc]
+            found.append((doc[inside], at[inside], h[at[inside]]))
+        out = []
+        for d in np.unique(np.concatenate([x[0] for x in found])).tolist() if found else ():
+            begin = int(ends[d]) - len(held[d][1])
+            mine = [(x[1][x[0] == d] - begin, x[2][x[0] == d]) for x in found]
+            out.append((held[d][0], held[d][1], np.concatenate([m[1] for m in mine]).tolist(), np.concatenate([m[0] for m in mine]).tolist()))
+        return out
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         typed = Typed(common.value)
-        wanted = None if filter_ is None else filter_.value
         for pdf in batches:
-            out = []
+            out, held, n = [], [], 0
             for doc, text in zip(pdf.doc_id, pdf.text):
-                tokens = typed(text)
-                values = template(tokens, not renamed)
-                keys, places = [], []
-                for size in sizes:
-                    h = window_hashes(values, size)
-                    if wanted is not None and len(h):
-                        at = np.searchsorted(wanted, h)
-                        at[at == len(wanted)] = 0
-                        hit = np.flatnonzero(wanted[at] == h)
-                    else:
-                        hit = np.arange(len(h))
-                    keys += h[hit].tolist()
-                    places += hit.tolist()
-                if keys:
-                    out.append((doc, tokens, keys, places))
+                held.append((doc, typed.list(text)))
+                n += len(held[-1][1])
+                if n > TOGETHER:
+                    out += hits(held)
+                    held, n = [], 0
+            out += hits(held)
             yield pd.DataFrame(out, columns=["doc_id", "doc", "keys", "places"])
 
     return run
