@@ -86,6 +86,7 @@ def model_keys(extracted: DataFrame) -> DataFrame:
     rows = rows.withColumn("text_size", stated_size("parameters"))
     millions = F.when((F.col("parameters_millions") > 0) & (F.col("parameters_millions") <= MOST // 10**6), F.col("parameters_millions") * 10**6)
     rows = rows.withColumn("size", F.coalesce("name_size", "text_size", millions)).withColumn("paper_id", F.coalesce("paper_id", F.lit("")))
+    rows = cut(rows.drop("parameters_millions", "model_family", "model_version"))  # the parsing is dear, and both uses below would repeat it
     seen = rows.select("paper_id", F.explode(F.array(F.struct(F.col("stem").alias("stem"), F.lit(False).alias("known")), F.struct(F.col("family_stem").alias("stem"), F.lit(True).alias("known")))).alias("x"))
     stems = seen.select("paper_id", "x.stem", "x.known").where(F.col("stem").isNotNull() & (F.col("stem") != "")).groupBy("paper_id", "stem").agg(F.max("known").alias("known"), F.count("*").alias("n"))
     canon = canonical_stems(stems, ["paper_id"], sure="known")
