@@ -87,11 +87,17 @@ def chunked(df: DataFrame, column: str, size: int, overlap: int, look: int = 200
             start = stop - overlap
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [*kept, "chunk_no", "start_pos", "chunk"]
         for pdf in batches:
+            rows, held = [], 0
             for text, *row in pdf[[column, *kept]].itertuples(index=False, name=None):
                 if text is not None:
-                    rows = [(*row, k, a, text[a:b]) for k, (a, b) in enumerate(cuts(text))]
-                    yield pd.DataFrame(rows, columns=[*kept, "chunk_no", "start_pos", "chunk"])
+                    rows += [(*row, k, a, text[a:b]) for k, (a, b) in enumerate(cuts(text))]
+                    held += len(text)
+                    if held > 8_000_000:  # what goes out at once is bounded
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, held = [], 0
+            yield pd.DataFrame(rows, columns=names)
 
     types = dict(df.dtypes)
     return df.mapInPandas(run, ", ".join([*(f"`{c}` {types[c]}" for c in kept), "chunk_no int", "start_pos int", "chunk string"]))
