@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordloom.functions.names import derived_millions, normalize_organisation
 from recordloom.functions.text import chunked, clean_text
 from recordloom.operators import answers, records
 from recordloom.session import cut
@@ -110,7 +111,11 @@ def pipeline(documents: DataFrame, client: Callable[[str], str] = stub_client, s
     r = each.select("paper_id", "chunk_no", "pos", F.xxhash64("doc_id", "chunk_no", "pos").alias("record_id"), *values)
     for f in sorted(set(records.GATE_FIELDS + records.RICH_FIELDS + ["model_version"]) - set(fields)):
         r = r.withColumn(f, F.lit(None).cast("string"))
-    r = r.withColumn("parameters_millions", F.lit(None).cast("bigint"))
+    r = r.withColumn("parameters_millions", derived_millions(F.col("parameters")).cast("bigint"))
     r = cut(r)  # the answers are dear: selection and merging read them several times
-    merged = records.merge_variants(records.select_primary(r), ["model_family"])
+    # what several chunks say of one record, then known organisations, then the records that are the paper's own, then its releases
+    filled = [c for c in r.columns if c not in ("paper_id", "record_id", "chunk_no", "pos", "model_name")]
+    one = records.dedup_chunks(r, filled).drop("n").join(r.select("record_id", "chunk_no", "pos"), "record_id")
+    one = cut(one.withColumn("organization", normalize_organisation(F.col("organization"))))
+    merged = records.merge_variants(records.select_primary(one), ["model_family"])
     return merged.select("paper_id", "model_name", "parameters", "n_variants")

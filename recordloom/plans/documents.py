@@ -259,15 +259,18 @@ def _answers(spark, sf):
     return files(spark, sf).where(p.isNotNull()).select("file_id", "payload", answer.alias("answer"))
 
 
-@query(f"""WITH {_FILES}, {_ANSWER},
+_ISOLATED = f"""{_FILES}, {_ANSWER},
 b AS (SELECT file_id, CASE WHEN contains(answer, '<|assistant|>') THEN list_last(string_split(answer, '<|assistant|>')) ELSE answer END AS s FROM a),
 c AS (SELECT file_id, regexp_replace(regexp_replace(s, '(?s)<think>.*?</think>', '', 'g'), '(?s)<think>.*$', '') AS s FROM b),
 d AS (SELECT file_id, CASE WHEN contains(s, '```json') THEN {S.strip("string_split(string_split(s, '```json')[2], '```')[1]")} WHEN contains(s, '```') THEN {S.strip("string_split(s, '```')[2]")} ELSE s END AS s FROM c),
 e AS (SELECT file_id, substr(s, instr(s, '{{')) AS s FROM d WHERE instr(s, '{{') > 0),
 g AS (SELECT file_id, s, regexp_extract_all(s, '[{{}}]') AS br, string_split_regex(s, '[{{}}]') AS pc FROM e),
 h AS (SELECT file_id, s, pc, list_transform(br, lambda x: CASE x WHEN '{{' THEN 1 ELSE -1 END) AS sg FROM g),
-k AS (SELECT file_id, s, pc, list_filter(range(1, len(sg) + 1), lambda i: list_sum(sg[1:i]) = 0)[1] AS hit FROM h)
-SELECT file_id, md5(CASE WHEN hit IS NOT NULL THEN substr(s, 1, CAST(list_sum(list_transform(pc[1:hit], lambda x: length(x))) + hit AS BIGINT)) ELSE substr(s, 1, length(s) - instr(reverse(s), '}}') + 1) END) AS json_md5 FROM k""")
+k AS (SELECT file_id, s, pc, list_filter(range(1, len(sg) + 1), lambda i: list_sum(sg[1:i]) = 0)[1] AS hit FROM h),
+iso AS (SELECT file_id, CASE WHEN hit IS NOT NULL THEN substr(s, 1, CAST(list_sum(list_transform(pc[1:hit], lambda x: length(x))) + hit AS BIGINT)) ELSE substr(s, 1, length(s) - instr(reverse(s), '}}') + 1) END AS s FROM k)"""
+
+
+@query(f"WITH {_ISOLATED} SELECT file_id, md5(s) AS json_md5 FROM iso")
 def j1_isolate(spark, sf):
     """The JSON object in an answer that thinks, echoes, fences or talks around it."""
     return _answers(spark, sf).select("file_id", J.isolate(F.col("answer")).alias("j")).where(F.col("j").isNotNull()).select("file_id", F.md5("j").alias("json_md5"))
@@ -295,7 +298,7 @@ def j4_quote_keys(spark, sf):
     return files(spark, sf).where(F.col("payload").isNotNull()).select("file_id", F.md5(J.quote_keys(s)).alias("s_md5"))
 
 
-@query()
+@query(rf"""WITH {_ISOLATED} SELECT file_id, json_valid(answer) OR coalesce(json_valid(regexp_replace(regexp_replace(iso.s, ',\s*\}}', '}}', 'g'), ',\s*\]', ']', 'g')), false) AS parsed FROM a LEFT JOIN iso USING (file_id)""")
 def j7_light_parse(spark, sf):
     """The light parser: as it stands, else fenced or between braces with trailing commas removed."""
     return _answers(spark, sf).select("file_id", J.light_parse(F.col("answer")).isNotNull().alias("parsed"))

@@ -146,7 +146,11 @@ def test_retries():
 
 def test_pipeline_merges_what_chunks_say(spark):
     d = spark.createDataFrame([("p", 1, "We train Bertone-2B and Bertone-7B. " * 3), ("p", 2, None), ("q", 3, "")], "paper_id string, doc_id long, text string")
-    assert infer.pipeline(d).count() >= 1
+    (r,) = infer.pipeline(d).collect()
+    assert (r.paper_id, r.model_name, r.parameters) == ("p", "Bertone", "2B, 7B")
+    long = "We train Bertone-2B here. " + "It is a plain sentence. " * 60 + "Again Bertone-2B and Zolidan-9B."
+    got = infer.pipeline(spark.createDataFrame([("p", 1, long)], "paper_id string, doc_id long, text string"), size=600, overlap=100).collect()
+    assert {(r.model_name, r.parameters, r.n_variants) for r in got} == {("Bertone", "2B", 1), ("Zolidan", "9B", 1)}  # said by two chunks, one record
 
 
 def test_stream_drops_repeats(spark, small, tmp_path):
