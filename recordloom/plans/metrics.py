@@ -98,9 +98,9 @@ def _long_sql(profile: str = "strict") -> str:
   FROM (SELECT pr.*, unnest([{g}]) AS x FROM pr JOIN recs g ON g.record_id = pr.gold_id JOIN recs p ON p.record_id = pr.pred_id))"""
 
 
-def run_pairs(spark: SparkSession, sf: str, profile: str = "strict") -> DataFrame:
+def run_pairs(spark: SparkSession, sf: str, profile: str = "strict", records: DataFrame | None = None) -> DataFrame:
     """(paper_id, extractor, gold_id, pred_id): the reference records of a paper paired one to one with the records of each run on it."""
-    r = recs(spark, sf).where("paper_id is not null and extractor is not null")
+    r = (recs(spark, sf) if records is None else records).where("paper_id is not null and extractor is not null")
     run, o = F.to_json(F.struct("paper_id", "extractor")), F.struct("chunk_no", "pos", "record_id")
     others = r.where(F.col("extractor") != TRUSTED)
     runs = others.select("paper_id", "extractor", run.alias("run")).distinct()
@@ -113,9 +113,10 @@ def run_pairs(spark: SparkSession, sf: str, profile: str = "strict") -> DataFram
 
 def run_results(spark: SparkSession, sf: str, profile: str = "strict") -> DataFrame:
     """(paper_id, extractor, gold_id, pred_id, field, gold, pred): one row for each field of each pair, worked out once."""
-    r, keys = recs(spark, sf), ["paper_id", "extractor", "gold_id", "pred_id"]
+    # rows delivered twice are dropped once, not again for each of the five uses of the records
+    r, keys = cut(recs(spark, sf).select("record_id", "paper_id", "extractor", "chunk_no", "pos", *E.FIELDS)), ["paper_id", "extractor", "gold_id", "pred_id"]
     side = lambda i, s: r.select(F.col("record_id").alias(i), F.struct(*E.FIELDS).alias(s))
-    both = run_pairs(spark, sf, profile).join(side("gold_id", "g"), "gold_id").join(side("pred_id", "p"), "pred_id")
+    both = run_pairs(spark, sf, profile, r).join(side("gold_id", "g"), "gold_id").join(side("pred_id", "p"), "pred_id")
     return cut(E.long_pairs(both, keys))
 
 
